@@ -6,12 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeweave.llm.encode import ids_of, token_counts
+from lodeweave.llm.matching import match_propositions
 from lodeweave.llm.mixture import mix
 from lodeweave.llm.nearest import nearest_in_time
 from lodeweave.llm.reading import reading_levels
+from lodeweave.llm.variants import link_mentions
 from lodeweave.tables import micros, table
 
 TOLERANCE_US = 600_000_000
+#: Pairs of at least this confidence count as found.
+CONFIDENT = 0.5
+
+
+def p1_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """The candidate pairs of listed propositions, each with its confidence."""
+    names = ("polymarket_markets", "polymarket_events", "kalshi_markets", "candidate_entities", "entity_aliases")
+    return match_propositions(*(table(spark, folder, n) for n in names))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p1_pairs(spark, folder).where(F.col("confidence") >= CONFIDENT).select("market_id", "ticker")
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,6 +51,12 @@ select news_id, market_id, epoch_us(seen_at) as nearest_at_us from near where rn
 """
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The entity that each unresolved mention names."""
+    open_ones = table(spark, folder, "extracted_mentions").where("entity_id is null")
+    return link_mentions(open_ones, table(spark, folder, "candidate_entities"), table(spark, folder, "entity_aliases")).select("mention_id", "entity_id")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return ids_of(table(spark, folder, "documents"))
@@ -69,5 +89,5 @@ def p10_levels(spark: SparkSession, folder: str) -> DataFrame:
     return levels.select("doc_id", "is_prose", "level", "n_words", (F.col("level") >= cut).alias("is_demanding"))
 
 
-QUERIES = {"p3_found": p3_found, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_selection": p9_selection, "p10_found": p10_found, "p10_levels": p10_levels}
+QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p3_found": p3_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_selection": p9_selection, "p10_found": p10_found, "p10_levels": p10_levels}
 SQL = {"p3_found": P3_SQL}
