@@ -10,10 +10,11 @@ other source, these two must match one another, and so for the other side.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +24,11 @@ from lodeweave.session import materialize
 
 #: Share of the squared distance of the means that is added to the variances.
 KAPPA = 0.15
-ROUNDS, BOUND_ROUNDS = 20, 3
+ROUNDS, BOUND_ROUNDS = 50, 3
 #: Pairs below this posterior take no part in transitivity.
 LIVE = 0.05
+#: Different similarity vectors that the driver fits on; similarities are rounded, so their number has a bound whatever the input. More is an error.
+MAX_VECTORS = 1_000_000
 
 
 @dataclass
@@ -35,57 +38,57 @@ class Mixture:
     weight: np.ndarray
     mean: np.ndarray
     cov: np.ndarray
-    names: Sequence[str] = field(default_factory=list)
 
-    def posterior(self) -> Column:
-        """The probability that a pair is matched, as an expression over its similarities."""
+    def posterior(self, x: np.ndarray) -> np.ndarray:
+        """The probability that pairs of these similarities are matched."""
         logs = []
         for c in (0, 1):
-            inverse, (_, logdet) = np.linalg.inv(self.cov[c]), np.linalg.slogdet(self.cov[c])
-            gaps = [F.col(n) - F.lit(float(m)) for n, m in zip(self.names, self.mean[c])]
-            terms = [F.lit(float(inverse[i, j]) * (1 if i == j else 2)) * gaps[i] * gaps[j] for i in range(len(gaps)) for j in range(i, len(gaps))]
-            logs.append(F.lit(float(np.log(max(self.weight[c], 1e-12)) - 0.5 * logdet)) - F.lit(0.5) * sum(terms[1:], terms[0]))
-        # beyond the matched mean in no similarity can a pair look less matched for it
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(F.least(F.lit(50.0), F.greatest(F.lit(-50.0), logs[0] - logs[1]))))
-
-
-def maximise(pairs: DataFrame, names: Sequence[str], gamma: Column, count: Column) -> Mixture | None:
-    """The mixture for given posteriors: sums of weights, similarities and their products, in one pass. None without pairs."""
-    k = len(names)
-    sums = []
-    for c, g in ((0, F.lit(1.0) - gamma), (1, gamma)):
-        w = g * count
-        sums.append(F.sum(w).alias(f"w{c}"))
-        sums += [F.sum(w * F.col(n)).alias(f"m{c}_{i}") for i, n in enumerate(names)]
-        sums += [F.sum(w * F.col(names[i]) * F.col(names[j])).alias(f"s{c}_{i}_{j}") for i in range(k) for j in range(i, k)]
-    row = pairs.agg(*sums).first()
-    if row["w0"] is None:
-        return None
-    total = np.array([max(row["w0"], 1e-6), max(row["w1"], 1e-6)])
-    mean = np.array([[row[f"m{c}_{i}"] / total[c] for i in range(k)] for c in (0, 1)])
+            gap = x - self.mean[c]
+            logs.append(np.log(max(self.weight[c], 1e-12)) - 0.5 * np.linalg.slogdet(self.cov[c])[1] - 0.5 * np.einsum("ni,ij,nj->n", gap, np.linalg.inv(self.cov[c]), gap))
+        return 1.0 / (1.0 + np.exp(np.clip(logs[0] - logs[1], -50, 50)))
+
+
+def maximise(x: np.ndarray, matched: np.ndarray, count: np.ndarray) -> Mixture:
+    """The mixture for vectors of which ``matched`` of ``count`` pairs are expected to match."""
+    masses = (count - matched, matched)
+    total = np.array([max(w.sum(), 1e-6) for w in masses])
+    mean = np.array([w @ x / t for w, t in zip(masses, total)])
     apart = np.diag(KAPPA * (mean[1] - mean[0]) ** 2 + 1e-3)
-    cov = np.zeros((2, k, k))
-    for c in (0, 1):
-        for i in range(k):
-            for j in range(i, k):
-                cov[c, i, j] = cov[c, j, i] = row[f"s{c}_{i}_{j}"] / total[c] - mean[c, i] * mean[c, j]
-        cov[c] += apart
-    return Mixture(total / total.sum(), mean, cov, list(names))
-
-
-def fit(pairs: DataFrame, names: Sequence[str], rounds: int = ROUNDS) -> Mixture | None:
-    """The mixture without transitivity. Pairs of equal similarities are counted first and then taken as one."""
-    grouped = materialize(pairs.groupBy(*names).agg(F.count(F.lit(1)).cast("double").alias("__n")))
-    start = F.when(sum((F.col(n) for n in names[1:]), F.col(names[0])) >= F.lit(0.85 * len(names)), 0.95).otherwise(0.05)
-    model, before = maximise(grouped, names, start, F.col("__n")), None
-    for _ in range(rounds if model else 0):
-        model = maximise(grouped, names, model.posterior(), F.col("__n"))
-        if before is not None and np.abs(model.mean - before).max() < 1e-4:
+    cov = np.array([(x - m).T @ ((x - m) * w[:, None]) / t + apart for w, m, t in zip(masses, mean, total)])
+    return Mixture(total / total.sum(), mean, cov)
+
+
+def fit(x: np.ndarray, count: np.ndarray, rounds: int = ROUNDS) -> Mixture:
+    """The mixture without transitivity; pairs that are alike in nearly everything start as matched."""
+    model = maximise(x, count * np.where(x.mean(axis=1) >= 0.85, 0.95, 0.05), count)
+    for _ in range(rounds):
+        after = maximise(x, count * model.posterior(x), count)
+        settled = np.abs(after.mean - model.mean).max() < 1e-5
+        model = after
+        if settled:
             break
-        before = model.mean
     return model
 
 
+def counted(pairs: DataFrame, names: Sequence[str], *sums: Column) -> list[np.ndarray]:
+    """The different similarity vectors of pairs, and per vector their number and further sums."""
+    found = pairs.groupBy(*names).agg(F.count(F.lit(1)).cast("double").alias("__n"), *sums).limit(MAX_VECTORS + 1).toArrow()
+    if found.num_rows > MAX_VECTORS:
+        raise ValueError("too many different similarity vectors")
+    columns = [np.asarray(c, float) for c in found.columns]
+    return [np.stack(columns[: len(names)], axis=1) if found.num_rows else np.zeros((0, len(names))), *columns[len(names) :]]
+
+
+def scorer(model: Mixture) -> Callable[..., Column]:
+    """The posterior as a function of the columns of similarities, in Arrow batches."""
+
+    @F.pandas_udf("double")
+    def score(*similarities: pd.Series) -> pd.Series:
+        return pd.Series(model.posterior(np.stack([s.to_numpy(float) for s in similarities], axis=1)))
+
+    return score
+
+
 def transitive(scored: DataFrame, within_left: DataFrame, within_right: DataFrame) -> DataFrame:
     """Lowers ``p`` where two matches of one record contradict each other.
 
@@ -107,15 +110,17 @@ def transitive(scored: DataFrame, within_left: DataFrame, within_right: DataFram
 
 def match_records(cross: DataFrame, within_left: DataFrame, within_right: DataFrame, names: Sequence[str]) -> DataFrame:
     """l, r, p of the candidate pairs. ``within_*`` are candidate pairs a < b of one side with the same similarities."""
-    model = fit(cross, names)
-    if model is None:
+    x, count = counted(cross, names)
+    if not len(x):
         return cross.select("l", "r", F.lit(0.0).alias("p"))
+    model = fit(x, count)
     for step in range(BOUND_ROUNDS):
-        score = model.posterior()
+        score = scorer(model)(*names)
         same = [side.select("a", "b", score.alias("p")) for side in (within_left, within_right)]
         scored = materialize(transitive(cross.select("l", "r", *names, score.alias("p")), *same))
         if step + 1 < BOUND_ROUNDS:
-            model = maximise(scored, names, F.col("p"), F.lit(1.0))
+            x, count, matched = counted(scored, names, F.sum("p").alias("__m"))
+            model = maximise(x, matched, count)
     return scored.select("l", "r", "p")
 
 
