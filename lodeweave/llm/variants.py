@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -143,29 +144,35 @@ def segments(text: Column, length: Column, k: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), k), cut)
 
 
-def probes(text: Column, length: Column) -> Column:
+def probes(text: str) -> list[tuple[int, int, str]]:
     """(length, i, s): all substrings of a typed string that may be segment i of a registry string of some length within its edits.
 
     The i segments before leave room for at most i edits, the k - i behind for
     at most k - i, so the positions are those where both hold.
     """
-
-    def of_length(other: Column) -> Column:
-        k = allowed(other)
-        base, rest, gap = F.floor(other / (k + 1)).cast("int"), other % (k + 1), length - other
-
-        def of_segment(i: Column) -> Column:
-            start, size = i * base + F.greatest(F.lit(0), i - (k + 1 - rest)), base + (i >= k + 1 - rest).cast("int")
-            low = F.greatest(F.lit(0), start - i, start + gap - (k - i))
-            high = F.least(length - size, start + i, start + gap + (k - i))
-            spots = F.when((low <= high) & (size > 0), F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
-            return F.transform(spots, lambda p: F.struct(other.alias("n"), i.alias("i"), F.substring(text, p + 1, size).alias("s")))
-
-        whole = F.flatten(F.transform(F.sequence(F.lit(0), k), of_segment))
-        return F.when((F.abs(gap) <= k) & (other > 0), whole).otherwise(F.array().cast("array<struct<n:int,i:int,s:string>>"))
-
-    most = len(EDITS)
-    return F.array_distinct(F.flatten(F.transform(F.sequence(F.greatest(F.lit(1), length - most), length + most), of_length)))
+    length, out = len(text), set()
+    for other in range(max(1, length - len(EDITS)), length + len(EDITS) + 1):
+        k, gap = sum(other >= at for at in EDITS), length - other
+        if abs(gap) > k:
+            continue
+        base, rest = divmod(other, k + 1)
+        for i in range(k + 1):
+            start, size = i * base + max(0, i - (k + 1 - rest)), base + (i >= k + 1 - rest)
+            for p in range(max(0, start - i, start + gap - (k - i)), min(length - size, start + i, start + gap + (k - i)) + 1):
+                out.add((other, i, text[p : p + size]))
+    return list(out)
+
+
+def _probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds each string's probes as one array."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1024):
+            part = batch.slice(start, 1024)
+            found = [probes(t) for t in part.column("string").to_pylist()]
+            flat = [x for f in found for x in f]
+            n, i, s = (pa.array([x[j] for x in flat], kind) for j, kind in enumerate((pa.int32(), pa.int32(), pa.string())))
+            ends = pa.array([0, *accumulate(map(len, found))], pa.int32())
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([n, i, s], ["n", "i", "s"]))], names=["field", "string", "probes"])
 
 
 def held(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -182,7 +189,10 @@ def similar_strings(typed: DataFrame, known: DataFrame) -> DataFrame:
     index = known.where("string <> ''").select("field", "string").distinct().withColumn("n", F.length("string"))
     index = index.withColumn("__s", F.explode(segments(F.col("string"), F.col("n"), allowed(F.col("n"))))).select("field", "n", F.col("__s.i").alias("i"), F.col("__s.s").alias("s"), F.col("string").alias("known"))
     asked = typed.where("string <> ''").select("field", "string").distinct()
-    asked = asked.withColumn("__p", F.explode(probes(F.col("string"), F.length("string")))).select("field", F.col("__p.n").alias("n"), F.col("__p.i").alias("i"), F.col("__p.s").alias("s"), F.col("string").alias("typed"))
+    # the strings are few bytes but much work: as many tasks as a shuffle has
+    tasks = int(typed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = asked.repartition(tasks, "string").mapInArrow(_probed, "field string, string string, probes array<struct<n:int,i:int,s:string>>")
+    asked = asked.withColumn("__p", F.explode("probes")).select("field", F.col("__p.n").alias("n"), F.col("__p.i").alias("i"), F.col("__p.s").alias("s"), F.col("string").alias("typed"))
     pairs = asked.join(held(index), ["field", "n", "i", "s"]).select("field", "typed", "known").distinct()
     # the third argument bounds the band; -1 says that the distance is above it
     length, banded = F.length("known"), F.levenshtein("typed", "known", len(EDITS))
