@@ -188,7 +188,10 @@ def fit_levels(docs: DataFrame, rounds: int = ROUNDS) -> Difficulties:
     ``docs`` has cells and grade (null where nobody graded). Without any grade
     there is no scale: every difficulty is then 0 and every level the middle.
     """
-    fit = solve(*gather(docs, None))
+    occurs, level_sum, mass = gather(docs, None)
+    if not mass.any():
+        return Difficulties(np.zeros(CELLS), np.zeros(CELLS), np.zeros(CELLS, bool))
+    fit = solve(occurs, level_sum, mass)
     for _ in range(rounds):
         fit = solve(*gather(docs, fit), before=fit)
     return fit
@@ -221,7 +224,7 @@ def grade_cut(levelled: DataFrame, grade: float = 3.5) -> float:
     wrong = np.concatenate([[(~above).sum()], (~above).sum() + np.cumsum(np.where(above, 1, -1))])
     best = np.flatnonzero(wrong == wrong.min())
     edges = np.concatenate([[level[0] - 1], (level[1:] + level[:-1]) / 2, [level[-1] + 1]])
-    return float(np.median(edges[best]))
+    return float(edges[best[len(best) // 2]])
 
 
 def reading_levels(documents: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, float]:
