@@ -110,15 +110,15 @@ def late_totals(stream: DataFrame, keys: Sequence[str], event: str, arrival: str
         for slot, (n, s, w) in held["log"].items():
             ledger.put(int(slot), n, Decimal(s), Decimal(w))
         ledger.replay(0)
-        end = key[-1] + rule.period
+        end = int(key[-1]) + rule.period
         for row in pd.concat(list(batches)).sort_values("a_us").itertuples():
             if row.a_us > end + rule.cut_off:
                 held["cut"] += 1
                 continue
-            slot = (row.e - key[-1]) // rule.slot
+            slot = int((row.e - key[-1]) // rule.slot)
             ledger.put(slot, 1, Decimal(row.s or 0), Decimal(row.w or 0))
             ledger.replay(slot)
-            tick = 0 if row.a_us <= end + rule.grace else (row.a_us - end) // rule.tick + 1
+            tick = 0 if row.a_us <= end + rule.grace else int((row.a_us - end) // rule.tick) + 1
             if tick > held["tick"]:
                 held["revision"], held["tick"] = held["revision"] + 1, tick
         n, s, w = ledger.total

@@ -8,8 +8,8 @@ def _attributes():
     return [Attribute("content", F.col("c")), Attribute("status", F.lower(F.trim("s")), keeps_last=True)]
 
 
-def _history(spark, rows, **kw):
-    df = spark.createDataFrame(rows, "k string, t long, c string, s string, value string, at_us string")
+def _history(spark, data, **kw):
+    df = spark.createDataFrame(data, "k string, t long, c string, s string, value string, at_us string")
     return {tuple(r) for r in attribute_history(df, ["k"], F.col("t"), _attributes(), **kw).collect()}
 
 
