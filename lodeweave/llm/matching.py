@@ -89,39 +89,37 @@ def scorer(model: Mixture) -> Callable[..., Column]:
     return score
 
 
-def transitive(scored: DataFrame, within_left: DataFrame, within_right: DataFrame) -> DataFrame:
+def transitive(scored: DataFrame, within: DataFrame) -> DataFrame:
     """Lowers ``p`` where two matches of one record contradict each other.
 
-    scored: l, r, p. within_*: a, b, p with a < b; a pair not listed can't
-    match. Of two matches of a record of joint probability above that of
-    their other ends matching, the less likely one is lowered to the bound.
+    scored: l, r and further columns, p. within: a, b, p of the pairs a < b
+    of either side; a pair not listed can't match. Of two matches of a record
+    of joint probability above that of their other ends matching, the less
+    likely one is lowered to the bound.
     """
-    bounds = []
-    for one, other, within in (("l", "r", within_right), ("r", "l", within_left)):
-        live = scored.where(F.col("p") >= LIVE).select(F.col(one).alias("o"), F.col(other).alias("x"), "p")
-        twice = live.alias("s").join(live.alias("t"), F.col("s.o") == F.col("t.o")).where("s.x <> t.x and (s.p < t.p or (s.p = t.p and s.x > t.x))")
-        ends = twice.select(F.col("s.o").alias("o"), F.col("s.x").alias("x"), F.col("t.p").alias("q"), F.least("s.x", "t.x").alias("a"), F.greatest("s.x", "t.x").alias("b"))
-        known = within.select("a", "b", F.col("p").alias("w"))
-        bound = ends.join(known, ["a", "b"], "left").select(F.col("o").alias(one), F.col("x").alias(other), F.least(F.lit(1.0), F.coalesce("w", F.lit(0.0)) / F.col("q")).alias("most"))
-        bounds.append(bound.select("l", "r", "most"))
-    least = bounds[0].unionByName(bounds[1]).groupBy("l", "r").agg(F.min("most").alias("most"))
+    # both directions at once: matches seen from the record that they share
+    live = scored.where(F.col("p") >= LIVE).select("p", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("l").alias("o"), F.col("r").alias("x")), F.struct(F.lit(1).alias("side"), F.col("r").alias("o"), F.col("l").alias("x")))).alias("e")).select("p", "e.*")
+    twice = live.alias("s").join(live.alias("t"), (F.col("s.o") == F.col("t.o")) & (F.col("s.side") == F.col("t.side"))).where("s.x <> t.x and (s.p < t.p or (s.p = t.p and s.x > t.x))")
+    ends = twice.select(F.when(F.col("s.side") == 0, F.col("s.o")).otherwise(F.col("s.x")).alias("l"), F.when(F.col("s.side") == 0, F.col("s.x")).otherwise(F.col("s.o")).alias("r"), F.col("t.p").alias("q"), F.least("s.x", "t.x").alias("a"), F.greatest("s.x", "t.x").alias("b"))
+    known = within.select("a", "b", F.col("p").alias("w"))
+    most = F.min(F.least(F.lit(1.0), F.coalesce("w", F.lit(0.0)) / F.col("q")))
+    least = ends.join(known, ["a", "b"], "left").groupBy("l", "r").agg(most.alias("most"))
     return scored.join(least, ["l", "r"], "left").withColumn("p", F.least("p", F.coalesce("most", F.lit(1.0)))).drop("most")
 
 
-def match_records(cross: DataFrame, within_left: DataFrame, within_right: DataFrame, names: Sequence[str]) -> DataFrame:
-    """l, r, p of the candidate pairs. ``within_*`` are candidate pairs a < b of one side with the same similarities."""
-    x, count = counted(cross, names)
+def match_records(pairs: DataFrame, names: Sequence[str]) -> DataFrame:
+    """l, r, p of the pairs between the sources. ``pairs``: a, b, across, and the similarities; pairs within a source have a < b."""
+    x, count = counted(pairs.where("across"), names)
     if not len(x):
-        return cross.select("l", "r", F.lit(0.0).alias("p"))
+        return pairs.where("across").select(F.col("a").alias("l"), F.col("b").alias("r"), F.lit(0.0).alias("p"))
     model = fit(x, count)
     for step in range(BOUND_ROUNDS):
-        score = scorer(model)(*names)
-        same = [side.select("a", "b", score.alias("p")) for side in (within_left, within_right)]
-        scored = materialize(transitive(cross.select("l", "r", *names, score.alias("p")), *same))
+        scored = materialize(pairs.withColumn("p", scorer(model)(*names)))
+        bound = materialize(transitive(scored.where("across").select(F.col("a").alias("l"), F.col("b").alias("r"), *names, "p"), scored.where("not across")))
         if step + 1 < BOUND_ROUNDS:
-            x, count, matched = counted(scored, names, F.sum("p").alias("__m"))
+            x, count, matched = counted(bound, names, F.sum("p").alias("__m"))
             model = maximise(x, matched, count)
-    return scored.select("l", "r", "p")
+    return bound.select("l", "r", "p")
 
 
 # ---------------------------------------------------------------- propositions
@@ -157,23 +155,20 @@ ASPECTS = ("game", "kind", "line", "given", "family", "person", "fit")
 
 
 def _statements(rows: DataFrame) -> DataFrame:
-    """The distinct statements of rows, with a number: rows that read alike are compared once."""
-    return rows.select(*ASPECTS).distinct().withColumn("key", F.xxhash64(F.lit("statement"), *ASPECTS))
+    """The distinct statements of rows of either ``side``, with a number: rows of a side that read alike are compared once."""
+    return rows.select("side", *ASPECTS).distinct().withColumn("key", F.xxhash64("side", *ASPECTS))
 
 
-def _candidates(left: DataFrame, right: DataFrame, nicknames: DataFrame) -> DataFrame:
+def _candidates(statements: DataFrame, nicknames: DataFrame) -> DataFrame:
     """Pairs of statements about one game that agree in two of kind, line and whom they are about, with their similarities."""
-    a, b = (side.select(*[F.col(c).alias(f"{p}_{c}") for c in (*ASPECTS, "key")]) for p, side in (("a", left), ("b", right)))
-    found = []
-    for agree in (("kind", "line"), ("kind", "family"), ("line", "family")):
-        on = F.col("a_game") == F.col("b_game")
-        for c in agree:
-            on = on & F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}"))
-        found.append(a.join(b, on).select("a_key", "b_key"))
-    pairs = found[0].unionByName(found[1]).unionByName(found[2]).distinct()
-    full = pairs.join(a, "a_key").join(b, "b_key")
+    a, b = (statements.select(*[F.col(c).alias(f"{p}_{c}") for c in ("side", *ASPECTS, "key")]) for p in ("a", "b"))
+    once = (F.col("a_side") < F.col("b_side")) | (F.col("a_side") == F.col("b_side")) & (F.col("a_key") < F.col("b_key"))
+    # each statement stands under three keys, one for each two aspects that a partner may agree in
+    under = lambda p: F.explode(F.array(*[F.xxhash64(F.lit(i), f"{p}_game", *[F.coalesce(F.col(f"{p}_{c}").cast("string"), F.lit("none")) for c in agree]) for i, agree in enumerate((("kind", "line"), ("kind", "family"), ("line", "family")))]))
+    pairs = a.withColumn("__u", under("a")).join(b.withColumn("__u", under("b")), "__u").where(once & (F.col("a_game") == F.col("b_game"))).drop("__u").distinct()
     marked = nicknames.select(F.col("g").alias("__g"), F.col("short").alias("__s"), F.lit(True).alias("short_for"))
-    return similarities(full.join(marked, (F.col("a_given") == F.col("__g")) & (F.col("b_given") == F.col("__s")), "left").na.fill(False, ["short_for"]))
+    named = pairs.join(marked, (F.col("a_given") == F.col("__g")) & (F.col("b_given") == F.col("__s")), "left").na.fill(False, ["short_for"])
+    return similarities(named).select(F.col("a_key").alias("a"), F.col("b_key").alias("b"), (F.col("a_side") != F.col("b_side")).alias("across"), *SIMILARITIES)
 
 
 def match_propositions(first: DataFrame, events: DataFrame, second: DataFrame, entities: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -225,10 +220,9 @@ def match_propositions(first: DataFrame, events: DataFrame, second: DataFrame, e
     l_rows = materialize(l_game.unionByName(period(left)).where("kind is not null").withColumn("given", F.coalesce("given", F.lit(""))).withColumn("family", F.coalesce("family", F.lit(""))))
     r_rows = materialize(r_game.unionByName(period(right)).where("kind is not null").withColumn("given", F.coalesce("given", F.lit(""))).withColumn("family", F.coalesce("family", F.lit(""))))
 
-    l_all, r_all = _statements(l_rows), _statements(r_rows)
-    cross = materialize(_candidates(l_all, r_all, nicknames).select(F.col("a_key").alias("l"), F.col("b_key").alias("r"), *SIMILARITIES))
-    inner = [materialize(_candidates(x, x, nicknames).where("a_key < b_key").select(F.col("a_key").alias("a"), F.col("b_key").alias("b"), *SIMILARITIES)) for x in (l_all, r_all)]
-    scored = match_records(cross, *inner, SIMILARITIES)
-    key = lambda rows, k, i: rows.select(F.col("id").alias(i), F.xxhash64(F.lit("statement"), *ASPECTS).alias(k))
-    rows = scored.where("p > 0").join(key(l_rows, "l", "market_id"), "l").join(key(r_rows, "r", "ticker"), "r")
+    both = l_rows.withColumn("side", F.lit(0)).unionByName(r_rows.withColumn("side", F.lit(1)))
+    scored = match_records(materialize(_candidates(_statements(both), nicknames)), SIMILARITIES)
+    keyed = both.select("side", "id", F.xxhash64("side", *ASPECTS).alias("key"))
+    left_ids, right_ids = keyed.where("side = 0").select(F.col("id").alias("market_id"), F.col("key").alias("l")), keyed.where("side = 1").select(F.col("id").alias("ticker"), F.col("key").alias("r"))
+    rows = scored.where("p > 0").join(left_ids, "l").join(right_ids, "r")
     return rows.groupBy("market_id", "ticker").agg(F.max("p").alias("confidence"))
