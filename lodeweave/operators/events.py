@@ -32,12 +32,11 @@ def trade_stats(events: DataFrame, trades: DataFrame, keys: Sequence[str], at_us
 
     Collection starts at the first trade of all.
     """
-    floor = trades.agg(F.min(traded_us).alias("__floor"))
+    floor = trades.agg(F.min(traded_us)).scalar()
     summed = interval_totals(events, trades.select(*keys, traded_us, worth), keys, at_us, traded_us, WINDOW, {"trade_count": F.count(F.lit(1)), "trade_worth": F.sum(f"r.{worth}")})
-    known = F.col("__floor") <= F.col(at_us) + WINDOW
+    known = floor <= F.col(at_us) + WINDOW
     zero = F.lit(0).cast(summed.schema["trade_worth"].dataType)
-    out = summed.crossJoin(F.broadcast(floor))  # one row
-    return out.withColumns({"trade_count": F.when(known, F.coalesce("trade_count", F.lit(0))), "trade_worth": F.when(known, F.coalesce("trade_worth", zero))}).drop("__floor")
+    return summed.withColumns({"trade_count": F.when(known, F.coalesce("trade_count", F.lit(0))), "trade_worth": F.when(known, F.coalesce("trade_worth", zero))})
 
 
 @dataclass(frozen=True)

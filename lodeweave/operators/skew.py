@@ -28,28 +28,39 @@ def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def cuts(df: DataFrame, keys: Sequence[str], order: str, share: float = SHARE, rows: int = ROWS) -> DataFrame | None:
-    """Keys above the share, with the order values at which they are cut; None where there is no such key.
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = SHARE, rows: int = ROWS) -> DataFrame | None:
+    """Keys with more than ``rows`` rows and the share of all, with their number of rows and of pieces to cut them into; None where there is no such key.
 
-    Runs one or two counting jobs over the key and order columns. What reaches
-    the driver is bounded by ``share``, whatever the input.
+    At most 1 / share rows, whatever the input, so it may be broadcast. Runs a
+    counting job over the key columns.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     total, most = counted.agg(F.sum("__n"), F.max("__n")).first()
     least = max(rows, int((total or 0) * share))
     if not most or most <= least:
         return None
-    hot = counted.where(F.col("__n") > least)
-    pieces = F.least(F.ceil(F.col("__n") / F.lit(least)), F.lit(int(2 / share))).cast("int")
-    marks = F.transform(F.sequence(F.lit(1), pieces - 1), lambda i: i / pieces)
+    return counted.where(F.col("__n") > least).withColumn("__pieces", F.least(F.ceil(F.col("__n") / F.lit(least)), F.lit(int(2 / share))).cast("int"))
+
+
+def cuts(df: DataFrame, keys: Sequence[str], order: str, share: float = SHARE, rows: int = ROWS) -> DataFrame | None:
+    """Keys above the share, with the order values at which they are cut; None where there is no such key.
+
+    What reaches the driver is bounded by ``share``, whatever the input.
+    """
+    hot = hot_keys(df, keys, share, rows)
+    if hot is None:
+        return None
+    on = reduce(lambda a, b: a & b, [df[k].eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    named = hot.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__pieces")
     spread = (
-        df.join(F.broadcast(hot.select(*keys)), list(keys))
+        df.join(F.broadcast(named), on)
         .groupBy(*keys)
-        .agg(F.percentile_approx(order, F.array(*[F.lit(i / 256) for i in range(1, 256)]), 10_000).alias("__q"), F.count(F.lit(1)).alias("__n"))
+        .agg(F.percentile_approx(order, F.array(*[F.lit(i / 256) for i in range(1, 256)]), 10_000).alias("__q"), F.max("__pieces").alias("__pieces"))
     )
-    chosen = spread.select(*keys, F.array_distinct(F.transform(marks, lambda m: F.element_at("__q", F.greatest(F.lit(1), F.least(F.lit(255), F.round(m * 256).cast("int")))))).alias("__cuts"))
-    found = chosen.collect()
-    return df.sparkSession.createDataFrame(found, chosen.schema)
+    marks = F.transform(F.sequence(F.lit(1), F.col("__pieces") - 1), lambda i: i / F.col("__pieces"))
+    at = lambda m: F.element_at("__q", F.greatest(F.lit(1), F.least(F.lit(255), F.round(m * 256).cast("int"))))
+    chosen = spread.select(*keys, F.array_distinct(F.transform(marks, at)).alias("__cuts"))
+    return df.sparkSession.createDataFrame(chosen.collect(), chosen.schema)
 
 
 def with_pieces(df: DataFrame, keys: Sequence[str], order: str, share: float = SHARE, rows: int = ROWS) -> tuple[DataFrame, bool]:

@@ -19,6 +19,7 @@ from lodeweave.operators import merge as M
 from lodeweave.operators import queue as Q
 from lodeweave.operators import resolve as R
 from lodeweave.session import shared_folder
+from lodeweave.sources import records as N
 from lodeweave.streaming import jobs as J
 from lodeweave.tables import micros, table
 
@@ -129,8 +130,8 @@ def pending_links_anti(s: SparkSession, d: str) -> DataFrame:
     every = links.select("news_id", "market_id", micros("published_at").alias("at_us")).distinct()
     books = table(s, d, "kalshi_current_order_books").select(F.col("ticker").alias("market_id"), micros("observed_at").alias("seen_us"))
     done = A.within(_posts(s, d, "kalshi"), books, ["market_id"], F.col("at_us") - E.LOOKBACK, F.col("at_us"), "seen_us", E.LOOKBACK).select("news_id", "market_id").distinct()
-    cutoff = every.agg((F.max("at_us") - E.WINDOW - E.TOLERANCE).alias("cutoff"))
-    return every.join(F.broadcast(cutoff), F.col("at_us") <= F.col("cutoff")).drop("cutoff").join(done, ["news_id", "market_id"], "left_anti")
+    cutoff = every.agg(F.max("at_us") - E.WINDOW - E.TOLERANCE).scalar()
+    return every.where(F.col("at_us") <= cutoff).join(done, ["news_id", "market_id"], "left_anti")
 
 
 def _labelled(s: SparkSession, d: str) -> DataFrame:
@@ -283,8 +284,8 @@ def open_markets_filter(s: SparkSession, d: str) -> DataFrame:
 @query("select distinct condition_id from polymarket_markets where condition_id is not null and (missing_since is null or missing_since > (select max(last_observed_at) from polymarket_markets) - interval 1 day)")
 def grace_window_filter(s: SparkSession, d: str) -> DataFrame:
     markets = table(s, d, "polymarket_markets")
-    now = markets.agg(F.max("last_observed_at").alias("now"))
-    return markets.join(F.broadcast(now), F.col("condition_id").isNotNull() & (F.col("missing_since").isNull() | (F.col("missing_since") > F.expr("now - interval 1 day")))).select("condition_id").distinct()
+    cutoff = markets.agg(F.max("last_observed_at") - F.expr("interval 1 day")).scalar()
+    return markets.where(F.col("condition_id").isNotNull() & (F.col("missing_since").isNull() | (F.col("missing_since") > cutoff))).select("condition_id").distinct()
 
 
 @query("select distinct event_ticker from kalshi_markets where lower(trim(status)) is distinct from 'finalized' and event_ticker is not null")
@@ -303,9 +304,9 @@ def json_flag_filter(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "entity_relationships").where(F.coalesce(status != "ACT", F.lit(True))).select("relationship_id", status.alias("status"))
 
 
-@query("select event_id, market_id from polymarket_markets m where not exists (select 1 from polymarket_trades t where t.market_id = m.market_id)")
+@query("select distinct news_id from news_events n where not exists (select 1 from news_market_links l where l.news_id = n.news_id)")
 def missing_keys_diff(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "polymarket_markets").select("event_id", "market_id").join(table(s, d, "polymarket_trades").select("market_id"), "market_id", "left_anti").select("event_id", "market_id")
+    return table(s, d, "news_events").select("news_id").distinct().join(table(s, d, "news_market_links").select("news_id"), "news_id", "left_anti")
 
 
 @query("""with cycles as (select distinct date_trunc('day', observed_at) as cycle from kalshi_market_versions), ordered as (select cycle, lead(cycle) over (order by cycle) as following from cycles),
@@ -593,6 +594,32 @@ def pricing_rollup(s: SparkSession, d: str) -> DataFrame:
     return grouped.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "l_returnflag", "l_linestatus")).cast("long"))
 
 
+# ---------------------------------------------------------------- raw records
+
+
+@query("""select market_id, i as outcome_index, market_id || '-' || i as token_id, case i when 0 then 'Yes' else 'No' end as outcome from polymarket_markets cross join (values (0), (1)) v(i)
+where trim(question) <> ''""")
+def tokens_from_json(s: SparkSession, d: str) -> DataFrame:
+    token = lambda i: F.concat(F.lit('"'), F.col("market_id"), F.lit(f'-{i}"'))
+    fields = F.struct(F.col("market_id").alias("id"), "question", F.lit('["Yes","No"]').alias("outcomes"), F.concat(F.lit("["), token(0), F.lit(","), token(1), F.lit("]")).alias("clobTokenIds"))
+    return N.markets_from_json(table(s, d, "polymarket_markets").select(F.to_json(fields).alias("raw")), "raw")[1]
+
+
+@query("""with raw as (select distinct trade_uid, side, price, size, epoch_us(traded_at) // 1000000 as seconds from polymarket_trades)
+select case when side is null or upper(side) not in ('BUY', 'SELL') then 'side' when size < 0 then 'size' else 'read' end as reason, count(*) as n from raw group by 1""")
+def trades_read_or_rejected(s: SparkSession, d: str) -> DataFrame:
+    raw = table(s, d, "polymarket_trades").select(F.col("trade_uid").alias("uid"), "side", F.expr("cast(unix_micros(cast(traded_at as timestamp)) div 1000000 as string)").alias("seconds"), F.col("price").cast("string").alias("price"), F.col("size").cast("string").alias("size")).distinct()
+    good, bad = N.readable_trades(raw)
+    return good.select(F.lit("read").alias("reason")).unionByName(bad.select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""select entity_id, coalesce(array_to_string(list_filter([['canonical', canonical_name], ['team', teams[1]], ['role', roles[1]]], lambda x: x[2] is not null).list_transform(lambda x: '[' || x[1] || ']' || chr(10) || x[2]), chr(10) || chr(10)), '') as evidence from candidate_entities""")
+def evidence_sections(s: SparkSession, d: str) -> DataFrame:
+    first = lambda c: F.get(c, F.lit(0))
+    text, _ = N.evidence([("canonical", F.col("canonical_name")), ("team", first("teams")), ("role", first("roles"))])
+    return table(s, d, "candidate_entities").select("entity_id", text.alias("evidence"))
+
+
 # ---------------------------------------------------------------- streams: the same rows as in batch
 
 
