@@ -14,10 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodeweave.operators.skew import SHARE, hot_keys
+
 #: Width of a block; a busy entity is spread over its blocks. At least twice the tolerance is used.
 BLOCK_US = 3_600_000_000
 #: Groups per shuffle partition: fewer rows in one group than in one partition.
 GROUPS = 4
+#: A block of one entity with more rows than this, and more than a share of all, is dealt out to several groups.
+BLOCK_ROWS = 2_000_000
 
 _connection = None
 
@@ -59,7 +63,7 @@ def asof_both_ways(left: pa.Table, right: pa.Table, keys: Sequence[str], left_us
         duck.unregister("r_side")
 
 
-def nearest_in_time(left: DataFrame, right: DataFrame, keys: Sequence[str], left_us: str, right_us: str, tolerance_us: int, block_us: int = BLOCK_US, groups: int | None = None) -> DataFrame:
+def nearest_in_time(left: DataFrame, right: DataFrame, keys: Sequence[str], left_us: str, right_us: str, tolerance_us: int, block_us: int = BLOCK_US, groups: int | None = None, block_rows: int = BLOCK_ROWS, share: float = SHARE) -> DataFrame:
     """The distinct rows of left with ``nearest_us``, the nearest time in right of the same keys.
 
     Times are microseconds. At most ``tolerance_us`` away, inclusive; of two
@@ -69,15 +73,26 @@ def nearest_in_time(left: DataFrame, right: DataFrame, keys: Sequence[str], left
     a column nearest_us.
 
     A row of left goes to every block that its tolerance reaches (one or two),
-    so every partner is seen; the candidates of both blocks are compared.
+    so every partner is seen; the candidates of both blocks are compared. The
+    right rows of a block that is too large for one group are dealt out by
+    their time, and the left rows of that block go to each part: the nearest
+    of the parts' nearest is the nearest of all.
     """
     width = max(block_us, 2 * tolerance_us, 1)
     count = groups or GROUPS * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reach = F.explode(F.array_distinct(F.array(F.floor((F.col(left_us) - tolerance_us) / width), F.floor((F.col(left_us) + tolerance_us) / width))))
-    place = F.pmod(F.xxhash64(*keys, "__block"), F.lit(count)).cast("int")
-    asked = left.where(" and ".join(f"`{c}` is not null" for c in [*keys, left_us])).withColumn("__block", reach).withColumn("__group", place).drop("__block")
-    held = right.select(*keys, F.col(right_us).alias("__at")).where(" and ".join(f"`{c}` is not null" for c in [*keys, "__at"]))
-    held = held.withColumn("__block", F.floor(F.col("__at") / width)).withColumn("__group", place).drop("__block")
+    place = F.pmod(F.xxhash64(*keys, "__block", "__part"), F.lit(count)).cast("int")
+    asked = left.where(" and ".join(f"`{c}` is not null" for c in [*keys, left_us])).withColumn("__block", reach)
+    held = right.select(*keys, F.col(right_us).alias("__at")).where(" and ".join(f"`{c}` is not null" for c in [*keys, "__at"])).withColumn("__block", F.floor(F.col("__at") / width))
+    large = hot_keys(held, [*keys, "__block"], share, block_rows)
+    if large is None:
+        asked, held = asked.withColumn("__part", F.lit(0)), held.withColumn("__part", F.lit(0))
+    else:
+        parts = F.broadcast(large.drop("__n"))
+        n = F.coalesce("__pieces", F.lit(1))
+        asked = asked.join(parts, [*keys, "__block"], "left").withColumn("__part", F.explode(F.sequence(F.lit(0), n - 1))).drop("__pieces")
+        held = held.join(parts, [*keys, "__block"], "left").withColumn("__part", F.pmod(F.xxhash64("__at"), n).cast("int")).drop("__pieces")
+    asked, held = (side.withColumn("__group", place).drop("__block", "__part") for side in (asked, held))
     names = left.columns
     out = T.StructType([*[left.schema[c] for c in names], T.StructField("nearest_us", T.LongType()), T.StructField("away_us", T.LongType())])
     keyed = list(keys)
@@ -91,5 +106,6 @@ def nearest_in_time(left: DataFrame, right: DataFrame, keys: Sequence[str], left
         found = asof_both_ways(asked_group.drop_columns(["__group"]), held_group, keyed, left_us, "__at", tolerance_us)
         return found.select(shape.names).cast(shape)
 
+    asked, held = asked.select(*names, "__group"), held.select(*keys, "__at", "__group")
     found = asked.groupBy("__group").cogroup(held.groupBy("__group")).applyInArrow(match, out)
     return found.groupBy(*names).agg(F.min(F.struct("away_us", "nearest_us")).alias("__best")).select(*names, F.col("__best.nearest_us").alias("nearest_us"))

@@ -34,3 +34,4 @@ def test_against_brute_force_with_a_hot_key_and_repeated_rows(spark):
             want.add((i, near[1]))
     assert _run(spark, left, right + right[:50]) == want
     assert _run(spark, left, right, block_us=1, groups=3) == want
+    assert _run(spark, left, right, block_us=10**11, block_rows=20, share=0.05) == want  # large blocks are dealt out
