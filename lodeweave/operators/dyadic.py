@@ -57,9 +57,9 @@ def join_valid_at(events: DataFrame, facts: DataFrame, keys: Sequence[str], at_u
 
     ``at_us``, ``from_us`` and ``to_us`` are microseconds. A null from_us
     means always, a null to_us means open. Events without time or with a null
-    key, and facts with a null key or an empty interval, match nothing. The
-    columns of both sides, apart from the keys, must have different names.
-    Every match comes out; see latest_valid() for one per event.
+    key, and facts with a null key or an empty interval, match nothing. A
+    column of facts whose name events have too comes out as ``fact_`` and its
+    name. Every match comes out; see latest_valid() for one per event.
     """
     lowest, highest = F.lit(0).cast("long"), F.lit((1 << levels) - 1).cast("long")
     salt = F.when(F.col("__n.level") >= COARSE, F.pmod(F.xxhash64(*[F.col(c) for c in events.columns]), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
@@ -68,17 +68,19 @@ def join_valid_at(events: DataFrame, facts: DataFrame, keys: Sequence[str], at_u
         .withColumn("__n", F.explode(enclosing_nodes(bucket(F.col(at_us), bits, levels), levels)))
         .withColumn("__salt", salt)
     )
-    first = F.when(F.col(from_us).isNull(), lowest).otherwise(bucket(F.col(from_us), bits, levels))
-    last = F.when(F.col(to_us).isNull(), highest).otherwise(bucket(F.col(to_us) - 1, bits, levels))
-    some = F.col(from_us).isNull() | F.col(to_us).isNull() | (F.col(from_us) < F.col(to_us))
-    nodes = facts.where(some).withColumn("__m", F.explode(covering_nodes(first, last, levels)))
+    begin, end = facts[from_us], facts[to_us]
+    first = F.when(begin.isNull(), lowest).otherwise(bucket(begin, bits, levels))
+    last = F.when(end.isNull(), highest).otherwise(bucket(end - 1, bits, levels))
+    carried = [c for c in facts.columns if c not in keys]
+    nodes = facts.where(begin.isNull() | end.isNull() | (begin < end)).select(*[facts[k].alias(f"__k{i}") for i, k in enumerate(keys)], *[facts[c].alias(f"__f_{c}") for c in carried], F.explode(covering_nodes(first, last, levels)).alias("__m"))
     nodes = nodes.withColumn("__msalt", F.explode(F.when(F.col("__m.level") >= COARSE, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
-    renamed = nodes.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[F.col(c) for c in facts.columns if c not in keys], F.col("__m.level").alias("__level"), F.col("__m.node").alias("__node"), "__msalt")
-    on = (F.col("__n.level") == F.col("__level")) & (F.col("__n.node") == F.col("__node")) & (F.col("__salt") == F.col("__msalt"))
+    on = (F.col("__n.level") == F.col("__m.level")) & (F.col("__n.node") == F.col("__m.node")) & (F.col("__salt") == F.col("__msalt"))
     for i, k in enumerate(keys):
         on = on & (probes[k] == F.col(f"__k{i}"))
-    holds = (F.col(from_us).isNull() | (F.col(from_us) <= F.col(at_us))) & (F.col(to_us).isNull() | (F.col(to_us) > F.col(at_us)))
-    return probes.join(renamed, on).where(holds).select(*[probes[c] for c in events.columns], *[F.col(c) for c in facts.columns if c not in keys])
+    begins, ends, at = F.col(f"__f_{from_us}"), F.col(f"__f_{to_us}"), probes[at_us]
+    holds = (begins.isNull() | (begins <= at)) & (ends.isNull() | (ends > at))
+    named = {c: f"fact_{c}" if c in events.columns else c for c in carried}
+    return probes.join(nodes, on).where(holds).select(*[probes[c] for c in events.columns], *[F.col(f"__f_{c}").alias(n) for c, n in named.items()])
 
 
 def latest_valid(matches: DataFrame, event: Sequence[str], precedence: Sequence[Column], value: Column, name: str) -> DataFrame:

@@ -42,3 +42,10 @@ def test_precedence_is_deterministic(spark):
     m = spark.createDataFrame([(1, None, 5, "a"), (1, 3, 4, "b"), (1, 3, 4, "c"), (2, None, 1, "d")], "e int, lo long, known long, id string")
     got = latest_valid(m, ["e"], [F.coalesce("lo", F.lit(-(1 << 62))), F.col("known"), F.col("id")], F.col("id"), "v")
     assert {tuple(r) for r in got.collect()} == {(1, "c"), (2, "d")}
+
+
+def test_clashing_names_and_other_columns(spark):
+    left = spark.createDataFrame([("a", 5, "L", 7)], "k string, at long, lo string, x int")
+    right = spark.createDataFrame([("a", 1, 9, "R", 8)], "k string, lo long, hi long, at string, x int")
+    got = join_valid_at(left, right, ["k"], "at", "lo", "hi")
+    assert got.columns == ["k", "at", "lo", "x", "fact_lo", "hi", "fact_at", "fact_x"] and [tuple(r) for r in got.collect()] == [("a", 5, "L", 7, 1, 9, "R", 8)]

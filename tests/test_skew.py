@@ -40,3 +40,8 @@ def test_next_value_and_empty_table(spark):
     df = spark.createDataFrame([("a", 1), ("a", 5), (None, 2)], "k string, t long")
     assert {tuple(r) for r in next_value(df, ["k"], "t", "n").collect()} == {("a", 1, 5), ("a", 5, None), (None, 2, None)}
     assert next_value(df.limit(0), ["k"], "t", "n").count() == 0
+
+
+def test_a_column_of_the_wanted_name_is_replaced(spark):
+    df = spark.createDataFrame([("a", 1, 9), ("a", 2, 8)], "k string, t long, p int")
+    assert {tuple(r) for r in prior_values(df, ["k"], "t", {"p": F.col("p")}).select("t", "p").collect()} == {(1, None), (2, 9)}
