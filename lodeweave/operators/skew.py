@@ -82,10 +82,11 @@ def prior_values(df: DataFrame, keys: Sequence[str], order: str, wanted: Mapping
     """df with, for each name, the last non-null value of its column in the rows of the key before this row.
 
     ``order`` is a number and not null; with ``ties`` it must be unique within
-    a key. Wrap a value in a struct where null is a value to be seen.
+    a key. Wrap a value in a struct where null is a value to be seen. Columns
+    of df that have one of the names are replaced.
     """
     names = list(wanted)
-    based = df.select("*", *[c.alias(f"__v_{n}") for n, c in wanted.items()])
+    based = df.select(*[c for c in df.columns if c not in names or c in (order, *keys, *ties)], *[c.alias(f"__v_{n}") for n, c in wanted.items()])
     cut, any_cut = with_pieces(based, keys, order, share, rows)
     before = Window.partitionBy(*keys, PIECE).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
     scanned = cut.select("*", *[F.last(f"__v_{n}", ignorenulls=True).over(before).alias(n) for n in names])
