@@ -182,10 +182,10 @@ def encode_texts(df: DataFrame, text: str = "text", out: str = "ids", path: str
 
     Null and empty texts get an empty list. Whole texts are encoded, special
     tokens' strings as ordinary text. No shuffle: one pass over the scan.
-    df must not have a column of the name ``out``.
+    A column of df that has the name ``out`` already is replaced.
     """
     path = path or vocabulary_path()
-    others = [c for c in df.columns if c != text]
+    others = [c for c in df.columns if c not in (text, out)]
     kind = T.IntegerType() if lengths_only else T.ArrayType(T.IntegerType())
     shape = T.StructType([*[df.schema[c] for c in others], T.StructField(out, kind)])
     step = 256

@@ -117,10 +117,11 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 7) -> tuple[DataFr
 
     A source that is absent or too small reaches less than its share, which
     the shares show. Documents without source or tokens are not used but count
-    to the total. Whole documents are taken; a range of the flow ends within
+    to the total; other columns are ignored. Whole documents are taken; a range of the flow ends within
     one, so a source's total is met but for one document.
     """
-    sized = materialize(documents)
+    sized = materialize(documents.select("doc_id", "unit", "source", "n_tokens"))
+    targets = targets.select("mix_name", "source", "target_weight", "max_repeats", "total_ratio")
     goals = targets.limit(MAX_SOURCES * MAX_SOURCES + 1).collect()
     if len(goals) > MAX_SOURCES * MAX_SOURCES:
         raise ValueError("too many targets")

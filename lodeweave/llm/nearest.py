@@ -69,8 +69,8 @@ def nearest_in_time(left: DataFrame, right: DataFrame, keys: Sequence[str], left
     Times are microseconds. At most ``tolerance_us`` away, inclusive; of two
     equally near the earlier. Rows without partner, and rows with a null key
     or time on either side, don't come out. Of right only keys and time are
-    read, so clashing names of other columns don't matter; left must not have
-    a column nearest_us.
+    read, so clashing names of other columns don't matter; columns of left
+    that are named nearest_us or away_us are left out.
 
     A row of left goes to every block that its tolerance reaches (one or two),
     so every partner is seen; the candidates of both blocks are compared. The
@@ -78,6 +78,7 @@ def nearest_in_time(left: DataFrame, right: DataFrame, keys: Sequence[str], left
     their time, and the left rows of that block go to each part: the nearest
     of the parts' nearest is the nearest of all.
     """
+    left = left.drop("nearest_us", "away_us")
     width = max(block_us, 2 * tolerance_us, 1)
     count = groups or GROUPS * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reach = F.explode(F.array_distinct(F.array(F.floor((F.col(left_us) - tolerance_us) / width), F.floor((F.col(left_us) + tolerance_us) / width))))

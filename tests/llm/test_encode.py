@@ -57,3 +57,4 @@ def test_long_pieces_nulls_and_extra_columns(spark, peer):
     counts = {r.doc_id: r.n for r in token_counts(df, out="n").collect()}
     assert counts == {i: len(v) for i, v in rows.items()}
     assert encode_texts(df.limit(0)).count() == 0
+    assert {r.doc_id: r.note for r in encode_texts(df, out="note").collect()} == rows

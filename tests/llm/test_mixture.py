@@ -3,10 +3,14 @@ from hypothesis import strategies as st
 
 from lodeweave.llm.mixture import min_cost_flow, mix
 
-SIZED = "doc_id long, unit string, source string, n_tokens int"
+SIZED = "doc_id long, unit string, source string, n_tokens int, mix_name string, pattern string"
 TARGETS = "mix_name string, source string, target_weight double, max_repeats int, total_ratio double"
 
 
+def _sized(spark, docs):
+    return spark.createDataFrame([(*d, "clash", "clash") for d in docs], SIZED)
+
+
 def _best(supply, quota, uses):
     """The largest flow and its least cost by trying every split, in whole tokens of one pattern per source."""
     import itertools
@@ -36,7 +40,7 @@ def test_flow_is_largest_and_cheapest(a, ab, qa, qb, ra, rb):
 def test_shares_repeats_and_small_sources(spark):
     docs = [(i, f"u{i}", "big", 10) for i in range(100)] + [(200 + i, f"s{i}", "small", 10) for i in range(5)] + [(300, "n", None, 10), (301, "e", "big", 0)]
     goals = [("m", "big", 1.0, 1, 0.4), ("m", "small", 1.0, 3, 0.4), ("m", "absent", 2.0, 2, 0.4), ("m", None, 1.0, 1, 0.4), ("m", "void", None, 1, 0.4)]
-    chosen, shares = mix(spark.createDataFrame(docs, SIZED), spark.createDataFrame(goals, TARGETS))
+    chosen, shares = mix(_sized(spark, docs), spark.createDataFrame(goals, TARGETS))
     by = {r.source: r for r in shares.collect()}
     # 1060 tokens in all, 424 wanted: 106 for each of big and small, 212 for what isn't there
     assert by["small"].target_tokens == 106 and by["small"].n_documents == 5 and by["small"].actual_tokens == 110
@@ -44,14 +48,14 @@ def test_shares_repeats_and_small_sources(spark):
     assert by["absent"].actual_tokens == 0 and by["absent"].target_tokens == 212
     rows = chosen.collect()
     assert max(r.copies for r in rows if r.source == "small") <= 3 and all(r.copies == 1 for r in rows if r.source == "big")
-    again = {tuple(r) for r in mix(spark.createDataFrame(docs[::-1], SIZED), spark.createDataFrame(goals, TARGETS))[0].collect()}
+    again = {tuple(r) for r in mix(_sized(spark, docs[::-1]), spark.createDataFrame(goals, TARGETS))[0].collect()}
     assert again == {tuple(r) for r in rows}
 
 
 def test_a_text_of_two_sources_serves_the_one_that_needs_it(spark):
     docs = [(1, "x", "a", 10), (2, "x", "b", 10), (3, "y", "a", 10)]
     goals = [("m", "a", 1.0, 1, 2 / 3), ("m", "b", 1.0, 1, 2 / 3)]
-    chosen = {(r.source, r.doc_id, r.copies) for r in mix(spark.createDataFrame(docs, SIZED), spark.createDataFrame(goals, TARGETS))[0].collect()}
+    chosen = {(r.source, r.doc_id, r.copies) for r in mix(_sized(spark, docs), spark.createDataFrame(goals, TARGETS))[0].collect()}
     assert chosen == {("a", 3, 1), ("b", 1, 1)}
 
 

@@ -6,7 +6,7 @@ S = 1_000_000
 
 
 def _run(spark, left, right, **kw):
-    a = spark.createDataFrame(left, "id int, k string, at long, value string")
+    a = spark.createDataFrame(left, "id int, k string, at long, value string").selectExpr("*", "1 as nearest_us")
     b = spark.createDataFrame(right, "k string, seen long, value string, id int, at string")
     return {(r.id, r.nearest_us) for r in nearest_in_time(a, b, ["k"], "at", "seen", 600 * S, **kw).collect()}
 
