@@ -496,6 +496,74 @@ def resolution_state_machine(s: SparkSession, d: str) -> DataFrame:
     return R.resolutions(mentions, R.exact_matches(mentions, registry), R.fuzzy_candidates(mentions, registry))
 
 
+@query("""with names as (select entity_id, string_agg(distinct normalized_alias, '|' order by normalized_alias) as known from entity_aliases group by 1),
+now as (select subject_entity_id, object_entity_id from entity_relationships where predicate = 'rostered_by' and (valid_to is null or valid_to > timestamp '2016-09-15') and (valid_from is null or valid_from <= timestamp '2016-09-15')),
+sides as (select n.subject_entity_id as entity_id, string_agg(distinct t.canonical_name, '|' order by t.canonical_name) as sides from now n join candidate_entities t on t.entity_id = n.object_entity_id group by 1)
+select e.entity_id, e.canonical_name, known, sides from candidate_entities e join names using (entity_id) left join sides using (entity_id)""")
+def candidate_rows(s: SparkSession, d: str) -> DataFrame:
+    """Registry rows with their aliases, which they need at least one of, and the teams of a day."""
+    entities, day = table(s, d, "candidate_entities"), F.lit("2016-09-15").cast("timestamp_ntz")
+    names = _alias_rows(s, d).groupBy("entity_id").agg(F.array_join(F.array_sort(F.collect_set("normalized_alias")), "|").alias("known"))
+    now = table(s, d, "entity_relationships").where((F.col("predicate") == "rostered_by") & F.coalesce(F.col("valid_to") > day, F.lit(True)) & F.coalesce(F.col("valid_from") <= day, F.lit(True)))
+    teams = now.select(F.col("subject_entity_id").alias("entity_id"), F.col("object_entity_id").alias("t")).join(entities.select(F.col("entity_id").alias("t"), F.col("canonical_name").alias("side")), "t")
+    sides = teams.groupBy("entity_id").agg(F.array_join(F.array_sort(F.collect_set("side")), "|").alias("sides"))
+    return entities.select("entity_id", "canonical_name").join(names, "entity_id").join(sides, "entity_id", "left")
+
+
+@query("""with owned as (select normalized_alias, count(distinct entity_id) as n from entity_aliases where normalized_alias is not null group by 1), e as (select * from candidate_entities)
+select 'entities' as metric, count(*) as value from e union all select 'people', count(*) from e where entity_type = 'person' union all select 'provisional', count(*) from e where identity_status = 'provisional'
+union all select 'without_role', count(*) from e where len(roles) = 0 union all select 'without_team', count(*) from e where entity_type = 'person' and len(teams) = 0
+union all select 'aliases', count(*) from owned union all select 'ambiguous_aliases', count(*) from owned where n > 1 union all select 'most_owners', max(n) from owned""")
+def registry_quality_report(s: SparkSession, d: str) -> DataFrame:
+    """Each table is read once; the metrics are turned into rows within the one row of each aggregate."""
+    e, owned = table(s, d, "candidate_entities"), _alias_rows(s, d).where("normalized_alias is not null").groupBy("normalized_alias").agg(F.count_distinct("entity_id").alias("n"))
+    metric = lambda name, value: F.struct(F.lit(name).alias("metric"), value.cast("long").alias("value"))
+    rows = lambda df, *metrics: df.agg(F.array(*metrics).alias("m")).select(F.explode("m").alias("m")).select("m.*")
+    person = F.col("entity_type") == "person"
+    of_entities = rows(e, metric("entities", F.count(F.lit(1))), metric("people", F.count_if(person)), metric("provisional", F.count_if(F.col("identity_status") == "provisional")), metric("without_role", F.count_if(F.size("roles") == 0)), metric("without_team", F.count_if(person & (F.size("teams") == 0))))
+    return of_entities.unionByName(rows(owned, metric("aliases", F.count(F.lit(1))), metric("ambiguous_aliases", F.count_if(F.col("n") > 1)), metric("most_owners", F.max("n"))))
+
+
+@query("""select e.entity_id, trim(e.canonical_name[1:len(e.canonical_name) - len(a.alias)]) as place from candidate_entities e join entity_aliases a using (entity_id)
+where e.entity_type = 'team' and a.alias_type = 'nickname' and ends_with(e.canonical_name, a.alias)""")
+def location_alias(s: SparkSession, d: str) -> DataFrame:
+    """A team's place: its name without the nickname at its end."""
+    nick = table(s, d, "entity_aliases").where("alias_type = 'nickname'").select("entity_id", "alias")
+    teams = table(s, d, "candidate_entities").where("entity_type = 'team'").join(nick, "entity_id").where(F.endswith("canonical_name", "alias"))
+    return teams.select("entity_id", F.trim(F.substring(F.col("canonical_name"), F.lit(1), F.length("canonical_name") - F.length("alias"))).alias("place"))
+
+
+@query("""with rows as (select distinct version_id, unnest(relationships) as r from nflverse_snapshots), named as (select version_id, r.source_key as source_key, r.subject_entity_id as s, r.object_entity_id as o from rows),
+counted as (select version_id, source_key, count(distinct e.entity_id) as n, count(distinct t.entity_id) as m from named left join candidate_entities e on e.entity_id = s left join candidate_entities t on t.entity_id = o group by all)
+select case when n = 0 then 'no subject' when n > 1 then 'several subjects' when m = 0 then 'no object' else 'matched' end as outcome, count(*) as rows from counted group by 1""")
+def roster_match_outcomes(s: SparkSession, d: str) -> DataFrame:
+    named = table(s, d, "nflverse_snapshots").select("version_id", F.explode("relationships").alias("r")).select("version_id", "r.source_key", F.col("r.subject_entity_id").alias("s"), F.col("r.object_entity_id").alias("o")).distinct()
+    ids = table(s, d, "candidate_entities").select("entity_id")
+    found = named.join(ids.select(F.col("entity_id").alias("s"), F.col("entity_id").alias("e")), "s", "left").join(ids.select(F.col("entity_id").alias("o"), F.col("entity_id").alias("t")), "o", "left")
+    counted = found.groupBy("version_id", "source_key").agg(F.count_distinct("e").alias("n"), F.count_distinct("t").alias("m"))
+    outcome = F.when(F.col("n") == 0, "no subject").when(F.col("n") > 1, "several subjects").when(F.col("m") == 0, "no object").otherwise("matched")
+    return counted.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("""select e.entity_id, len(list_filter(e.aliases, lambda x: list_contains(a.known, x))) as both_sides, len(list_filter(e.aliases, lambda x: not list_contains(a.known, x))) as only_own, list_sort(list_distinct(e.aliases)) = a.known as same_set
+from candidate_entities e join (select entity_id, list_sort(list_distinct(list(alias))) as known from entity_aliases group by 1) a using (entity_id)""")
+def alias_set_operations(s: SparkSession, d: str) -> DataFrame:
+    known = table(s, d, "entity_aliases").groupBy("entity_id").agg(F.array_sort(F.collect_set("alias")).alias("known"))
+    both = table(s, d, "candidate_entities").select("entity_id", "aliases").join(known, "entity_id")
+    return both.select("entity_id", F.size(F.filter("aliases", lambda x: F.array_contains("known", x))).cast("long").alias("both_sides"), F.size(F.filter("aliases", lambda x: ~F.array_contains("known", x))).cast("long").alias("only_own"), (F.array_sort(F.array_distinct("aliases")) == F.col("known")).alias("same_set"))
+
+
+@query("""select mention_id, contains(evidence, text) as literal, contains(lower(evidence), lower(text)) as any_case, (news_id is not null)::int + (entity_id is not null)::int as sources from extracted_mentions""")
+def evidence_containment(s: SparkSession, d: str) -> DataFrame:
+    sources = F.col("news_id").isNotNull().cast("int") + F.col("entity_id").isNotNull().cast("int")
+    return table(s, d, "extracted_mentions").select("mention_id", F.contains("evidence", "text").alias("literal"), F.contains(F.lower("evidence"), F.lower("text")).alias("any_case"), sources.cast("long").alias("sources"))
+
+
+@query("select source, max(try_cast(source_post_id as decimal(38,0)))::varchar as newest from news_events group by 1")
+def newest_numeric_id(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "news_events").groupBy("source").agg(F.max(F.col("source_post_id").try_cast("decimal(38,0)")).cast("string").alias("newest"))
+
+
 # ---------------------------------------------------------------- scalars
 
 
@@ -539,6 +607,20 @@ def keyword_topic_tags(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "documents").select("doc_id", *[F.coalesce(X.has_word(F.col("text"), w), F.lit(False)).alias(t) for t, w in _TOPICS.items()])
 
 
+_RULES = {"injury": 3, "trade": 2, "market": 1}
+
+
+@query("select doc_id, case " + " ".join(f"when {_word(_TOPICS[t])} then '{t}'" for t in _RULES) + " else 'other' end as topic, " + " + ".join(f"(case when {_word(_TOPICS[t])} then {w} else 0 end)" for t, w in _RULES.items()) + " as usefulness from documents")
+def usefulness_rules(s: SparkSession, d: str) -> DataFrame:
+    """A rule table over keywords: the first topic that is met, and the sum of the weights of all that are."""
+    hit = {t: F.coalesce(X.has_word(F.col("text"), _TOPICS[t]), F.lit(False)) for t in _RULES}
+    topic, score = F.lit("other"), F.lit(0)
+    for t in reversed(_RULES):
+        topic = F.when(hit[t], t).otherwise(topic)
+        score = score + F.when(hit[t], _RULES[t]).otherwise(0)
+    return table(s, d, "documents").select("doc_id", topic.alias("topic"), score.cast("int").alias("usefulness"))
+
+
 @query("""select mention_id, case when text is null or trim(text) = '' then 'blank' when regexp_matches(trim(text), '^(Player|Coach|Person|Team) [A-Z]{1,2}$') then 'placeholder'
   when lower(trim(text)) in ('yes', 'no') and trim(text) <> 'NO' then 'boolean' when lower(trim(text)) in ('other', 'another', 'field', 'any other', 'none of the above', 'no one') then 'generic' end as reason from extracted_mentions""")
 def placeholder_classifier(s: SparkSession, d: str) -> DataFrame:
