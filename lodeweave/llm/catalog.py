@@ -86,7 +86,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 def p10_levels(spark: SparkSession, folder: str) -> DataFrame:
     """The estimate for every document."""
     levels, cut = reading_levels(table(spark, folder, "documents"), table(spark, folder, "reading_labels"))
-    return levels.select("doc_id", "is_prose", "level", "n_words", (F.col("level") >= cut).alias("is_demanding"))
+    return levels.select("doc_id", "is_prose", "level", "as_grade", "n_words", (F.col("level") >= cut).alias("is_demanding"))
 
 
 QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p3_found": p3_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_selection": p9_selection, "p10_found": p10_found, "p10_levels": p10_levels}

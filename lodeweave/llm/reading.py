@@ -9,8 +9,10 @@ b_word, the word's difficulty, says how much likelier the word gets as texts
 get more demanding. Levels and difficulties are estimated in turn: given the
 words, every document's level is the mean of its posterior; given the levels,
 every word's two parameters follow from how often it occurs and at what mean
-level. Graded documents start the estimation and fix the direction and unit of
-the scale (one grade); all documents take part in it.
+level. Graded documents start the estimation and fix the direction of the
+scale; all documents take part in it. The model's scale is stretched where
+words change much; grade_curve() brings a level back to the grade that people
+gave to documents of it.
 
 Words are counted in 2**20 cells by hash, so that what is collected and
 broadcast has a fixed bound whatever the corpus; rare words may share a cell.
@@ -22,9 +24,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodeweave.session import materialize
 
@@ -142,7 +146,9 @@ def gather(docs: DataFrame, fit: Difficulties | None) -> tuple[np.ndarray, np.nd
         some = np.nonzero(occurs)[0]
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([some, -1 - np.arange(len(GRID))])), pa.array(np.concatenate([occurs[some], mass])), pa.array(np.concatenate([level_sum[some], np.zeros(len(GRID))]))], names=["cell", "n", "level"])
 
-    sums = docs.mapInArrow(run, "cell long, n double, level double").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("level").alias("level")).toArrow()
+    # every task sends sums of all its words, so there are no more tasks than the cluster can run twice over
+    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    sums = docs.coalesce(tasks).mapInArrow(run, "cell long, n double, level double").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("level").alias("level")).toArrow()
     cell, n, level = (np.asarray(sums.column(c)) for c in ("cell", "n", "level"))
     occurs, level_sum, mass = np.zeros(CELLS), np.zeros(CELLS), np.zeros(len(GRID))
     words_, grid = cell >= 0, cell < 0
@@ -210,34 +216,62 @@ def with_levels(docs: DataFrame, fit: Difficulties, use_grades: bool = False) ->
     return docs.select("doc_id", "cells", "grade").mapInArrow(run, "doc_id long, level double, n_words long, grade double")
 
 
-def grade_cut(levelled: DataFrame, grade: float = 3.5) -> float:
-    """The level from which documents are graded above ``grade``: the cut with the fewest mistakes among graded documents.
-
-    Fitted on at most MAX_GRADED documents, those with the least hash of their id.
-    """
+def _graded(levelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Level and grade, by level, of at most MAX_GRADED graded documents, those with the least hash of their id."""
     sample = levelled.where("grade is not null").select("level", "grade").orderBy(F.xxhash64("doc_id")).limit(MAX_GRADED).toArrow()
-    level, above = np.asarray(sample.column("level"), float), np.asarray(sample.column("grade"), float) >= grade
-    if not above.any() or above.all():
-        return grade
+    level, grade = np.asarray(sample.column("level"), float), np.asarray(sample.column("grade"), float)
     order = np.argsort(level, kind="stable")
-    level, above = level[order], above[order]
+    return level[order], grade[order]
+
+
+def best_cut(level: np.ndarray, grade: np.ndarray, bound: float = 3.5) -> float:
+    """The level from which documents are graded ``bound`` or more: the cut with the fewest mistakes among graded documents."""
+    above = grade >= bound
+    if not above.any() or above.all():
+        return bound
     wrong = np.concatenate([[(~above).sum()], (~above).sum() + np.cumsum(np.where(above, 1, -1))])
     best = np.flatnonzero(wrong == wrong.min())
     edges = np.concatenate([[level[0] - 1], (level[1:] + level[:-1]) / 2, [level[-1] + 1]])
     return float(edges[best[len(best) // 2]])
 
 
+def grade_curve(level: np.ndarray, grade: np.ndarray) -> tuple[list[float], list[float]]:
+    """The rising curve through (level, grade) with the least squared error, as its corners; the level itself without grades."""
+    blocks: list[list[float]] = []  # number, mean grade, mean level
+    for x, y in zip(level, grade):
+        blocks.append([1.0, y, x])
+        while len(blocks) > 1 and blocks[-2][1] >= blocks[-1][1]:
+            n, y1, x1 = blocks.pop()
+            m, y0, x0 = blocks[-1]
+            blocks[-1] = [m + n, (m * y0 + n * y1) / (m + n), (m * x0 + n * x1) / (m + n)]
+    if not blocks:
+        return [1.0, 5.0], [1.0, 5.0]
+    return [b[2] for b in blocks], [b[1] for b in blocks]
+
+
+def as_grade(level: Column, curve: tuple[list[float], list[float]]) -> Column:
+    """The grade that belongs to a level, in Arrow batches; null stays null."""
+
+    @F.pandas_udf(T.DoubleType())
+    def look_up(levels: pd.Series) -> pd.Series:
+        return pd.Series(np.interp(levels.to_numpy(float), *curve)).where(levels.notna(), None)
+
+    return look_up(level)
+
+
 def reading_levels(documents: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, float]:
-    """(doc_id, is_prose, level, n_words, grade), and the level from which a text is demanding.
+    """(doc_id, is_prose, level, as_grade, n_words, grade), and the level from which a text is demanding.
 
     ``labels``: doc_id, grade; several raters' grades are averaged and null
-    grades left out. Levels are on the scale of the grades. Documents that are
-    no English prose have a null level.
+    grades left out. A document's own grades don't enter its level. Documents
+    that are no English prose have a null level.
     """
     graded = labels.where("grade is not null").groupBy("doc_id").agg(F.avg("grade").alias("grade"))
     docs = materialize(features(documents).join(graded, "doc_id", "left"))
     prose = docs.where("is_prose").select("doc_id", "cells", "grade")
-    fit = fit_levels(prose, rounds)
-    levelled = with_levels(prose, fit)
-    rest = docs.where("not is_prose").select("doc_id", F.lit(False).alias("is_prose"), F.lit(None).cast("double").alias("level"), F.size("cells").cast("long").alias("n_words"), "grade")
-    return levelled.select("doc_id", F.lit(True).alias("is_prose"), "level", "n_words", "grade").unionByName(rest), grade_cut(levelled)
+    levelled = with_levels(prose, fit_levels(prose, rounds))
+    known = _graded(levelled)
+    none = F.lit(None).cast("double")
+    rest = docs.where("not is_prose").select("doc_id", F.lit(False).alias("is_prose"), none.alias("level"), none.alias("as_grade"), F.size("cells").cast("long").alias("n_words"), "grade")
+    shown = levelled.select("doc_id", F.lit(True).alias("is_prose"), "level", as_grade(F.col("level"), grade_curve(*known)).alias("as_grade"), "n_words", "grade")
+    return shown.unionByName(rest), best_cut(*known)

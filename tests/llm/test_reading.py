@@ -1,6 +1,6 @@
 import numpy as np
 
-from lodeweave.llm.reading import CELLS, features, grade_cut, reading_levels, solve
+from lodeweave.llm.reading import CELLS, best_cut, features, grade_curve, reading_levels, solve
 
 EASY = "the dog ran to the park and it was fun for us"
 HARD = "the forfeiture of the indemnity is contingent upon the determination of the tribunal"
@@ -26,6 +26,7 @@ def test_orders_texts_and_generalises_to_ungraded_ones(spark):
     assert max(got[i].level for i in range(0, 60, 3)) < min(got[i].level for i in range(1, 60, 3)) < max(got[i].level for i in range(1, 60, 3)) < cut < min(got[i].level for i in range(2, 60, 3))
     assert all(got[i].level is None and not got[i].is_prose for i in (100, 101, 102, 103))
     assert got[105].level > cut and got[0].level < got[104].level <= got[2].level
+    assert abs(got[0].as_grade - 1) < 0.2 and abs(got[59].as_grade - 5) < 0.2 and got[100].as_grade is None
 
 
 def test_without_grades_or_rows_there_is_no_scale(spark):
@@ -44,11 +45,14 @@ def test_slopes_match_the_mean_level_of_each_word():
     assert fit.slope[0] < -0.5 and abs(fit.slope[1]) < 0.1 and fit.slope[2] > 0.5 and fit.seen.sum() == 3
 
 
-def test_cut_has_the_fewest_mistakes(spark):
-    rows = [(float(i), i, g) for i, g in enumerate([1, 2, 5, 3, 3, 4, 5])]
-    df = spark.createDataFrame(rows, "level double, doc_id int, grade int")
-    assert grade_cut(df) == 4.5
-    assert grade_cut(df.limit(0)) == 3.5
+def test_cut_has_the_fewest_mistakes():
+    assert best_cut(np.arange(7.0), np.array([1, 2, 5, 3, 3, 4, 5])) == 4.5
+    assert best_cut(np.zeros(0), np.zeros(0)) == 3.5
+
+
+def test_curve_rises_and_keeps_the_mean():
+    x, y = grade_curve(np.arange(5.0), np.array([1.0, 3.0, 2.0, 4.0, 4.0]))
+    assert (x, y) == ([0.0, 1.5, 3.5], [1.0, 2.5, 4.0]) and grade_curve(np.zeros(0), np.zeros(0)) == ([1.0, 5.0], [1.0, 5.0])
 
 
 def test_words_are_counted_whole(spark):
