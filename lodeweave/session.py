@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +62,21 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the workers this package, once per Spark context, wherever they run and whatever their path is."""
+    context = spark.sparkContext
+    if getattr(context, "_lodeweave_shipped", False):
+        return
+    folder = tempfile.mkdtemp(prefix="lodeweave-")
+    atexit.register(shutil.rmtree, folder, True)
+    root, archive = Path(__file__).resolve().parent, f"{folder}/lodeweave.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(archive)
+    context._lodeweave_shipped = True
+
+
 _written: list[tuple[SparkSession, str]] = []
 
 
