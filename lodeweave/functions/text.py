@@ -46,6 +46,31 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
+def ratio_from(least: float):
+    """ratio() of two columns where it is at least ``least``, else null; cheap bounds spare most of the work. Fastest on rows sorted by the second."""
+
+    @F.pandas_udf(T.DoubleType())
+    def bounded(a: pd.Series, b: pd.Series) -> pd.Series:
+        from difflib import SequenceMatcher
+
+        # the matcher keeps what it worked out about its second text
+        matcher, last, out = SequenceMatcher(None), None, []
+        for x, y in zip(a, b):
+            if x is None or y is None:
+                out.append(None)
+                continue
+            if y != last:
+                matcher.set_seq2(y)
+                last = y
+            matcher.set_seq1(x)
+            likely = matcher.real_quick_ratio() >= least and matcher.quick_ratio() >= least
+            score = matcher.ratio() if likely else 0.0
+            out.append(score if score >= least else None)
+        return pd.Series(out, dtype="float64")
+
+    return bounded
+
+
 def names_agree(a: Column, b: Column, likeness: Column) -> Column:
     """Whether two comparable names may be one person's: equal but for suffixes, or of one last part, or of one first part and alike."""
     parts = lambda c: F.filter(F.split(c, " "), lambda t: ~t.isin("jr", "sr", "ii", "iii", "iv", "v") & (t != ""))

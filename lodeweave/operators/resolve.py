@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeweave.functions.text import ratio
+from lodeweave.functions.text import ratio_from
 
 
 def exact_matches(mentions: DataFrame, registry: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def fuzzy_candidates(mentions: DataFrame, registry: DataFrame, limit: int = 8, l
     pairs = left.join(right, ["block", "entity_type"]).select("name", "alias", "entity_type").distinct()
     # no two strings can be alike beyond twice the shorter over both lengths
     reach = 2.0 * F.least(F.length("name"), F.length("alias")) / (F.length("name") + F.length("alias"))
-    scored = pairs.where(reach >= least).withColumn("score", ratio("name", "alias")).where(F.col("score") >= least)
+    scored = pairs.where(reach >= least).sortWithinPartitions("alias").withColumn("score", ratio_from(least)("name", "alias")).where(F.col("score").isNotNull())
     named = scored.join(registry.select("entity_id", F.col("name").alias("alias"), "entity_type").distinct(), ["alias", "entity_type"])
     best = named.groupBy("name", "entity_type", "entity_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("name", "entity_type").orderBy(F.desc("score"), "entity_id")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lodeweave.functions import enrich as C
 from lodeweave.functions import text as X
 from lodeweave.functions import values as V
 from lodeweave.operators import asof as A
@@ -676,6 +677,15 @@ def pricing_rollup(s: SparkSession, d: str) -> DataFrame:
     return grouped.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "l_returnflag", "l_linestatus")).cast("long"))
 
 
+@query("""with m as (select news_id, lower(trim(text)) as name, entity_type, text, confidence, mention_role, mention_id from extracted_mentions)
+select news_id, name, entity_type, arg_min(text, mention_id) as text, max(confidence) as confidence, array_to_string(list_distinct(list(mention_role order by mention_id)), '') is not null as has_roles from m group by all""")
+def merged_mention_tags(s: SparkSession, d: str) -> DataFrame:
+    """The mentions of a post, repeated ones merged: the first spelling, the greatest confidence, all roles."""
+    tags = table(s, d, "extracted_mentions").select("news_id", F.lower(F.trim("text")).alias("name"), "entity_type", "text", "confidence", F.array("mention_role").alias("roles"), "mention_id")
+    merged = C.merged_tags(tags, ["news_id"], ["mention_id"], ["name", "entity_type"], ["text"], "confidence", "roles")
+    return merged.select("news_id", "name", "entity_type", "text", "confidence", F.col("roles").isNotNull().alias("has_roles"))
+
+
 # ---------------------------------------------------------------- raw records
 
 
