@@ -3,7 +3,8 @@
 Candidate pairs get a vector of similarities. Two Gaussians, of matched and of
 unmatched pairs, are fitted by expectation-maximisation; each covariance is
 regularised by the squared distance of the two means, so that similarities
-that hardly vary among matches don't get a vanishing variance. In the later
+that hardly vary among matches don't get a vanishing variance, and the matched
+kind is kept narrow, so that it can't take over a sort of unmatched pairs. In the later
 rounds the expectations obey transitivity: if a record matches two of the
 other source, these two must match one another, and so for the other side.
 """
@@ -22,8 +23,11 @@ from lodeweave.llm.propositions import read_first, read_rows, read_second
 from lodeweave.llm.variants import held, registry_forms, similar_strings
 from lodeweave.session import materialize
 
-#: Share of the squared distance of the means that is added to the variances.
-KAPPA = 0.15
+#: Share of the squared distance of the means that is added to both kinds' variances.
+KAPPA = 0.04
+#: The matched kind's own variance counts up to this. Matches are alike in everything, while the unmatched are of several
+#: sorts (another line, another person, another day), one of which a free Gaussian would take for the matches.
+MATCHED_SPREAD = 0.1**2
 ROUNDS, BOUND_ROUNDS = 50, 3
 #: Pairs below this posterior take no part in transitivity.
 LIVE = 0.05
@@ -53,14 +57,16 @@ def maximise(x: np.ndarray, matched: np.ndarray, count: np.ndarray) -> Mixture:
     masses = (count - matched, matched)
     total = np.array([max(w.sum(), 1e-6) for w in masses])
     mean = np.array([w @ x / t for w, t in zip(masses, total)])
-    apart = np.diag(KAPPA * (mean[1] - mean[0]) ** 2 + 1e-3)
-    cov = np.array([(x - m).T @ ((x - m) * w[:, None]) / t + apart for w, m, t in zip(masses, mean, total)])
+    cov = np.array([(x - m).T @ ((x - m) * w[:, None]) / t for w, m, t in zip(masses, mean, total)])
+    shrink = np.sqrt(np.minimum(1.0, MATCHED_SPREAD / np.maximum(cov[1].diagonal(), 1e-12)))
+    cov[1] *= np.outer(shrink, shrink)
+    cov += np.diag(KAPPA * (mean[1] - mean[0]) ** 2 + 1e-3)
     return Mixture(total / total.sum(), mean, cov)
 
 
 def fit(x: np.ndarray, count: np.ndarray, rounds: int = ROUNDS) -> Mixture:
-    """The mixture without transitivity; pairs that are alike in nearly everything start as matched."""
-    model = maximise(x, count * np.where(x.mean(axis=1) >= 0.85, 0.95, 0.05), count)
+    """The mixture without transitivity; pairs that are alike in every similarity start as matched."""
+    model = maximise(x, count * np.where(x.min(axis=1) >= 0.85, 0.95, 0.05), count)
     for _ in range(rounds):
         after = maximise(x, count * model.posterior(x), count)
         settled = np.abs(after.mean - model.mean).max() < 1e-5
@@ -135,8 +141,8 @@ def _alike(a: Column, b: Column) -> Column:
 def similarities(pairs: DataFrame) -> DataFrame:
     """pairs with SIMILARITIES, from the a_ and b_ columns of both statements; rounded, so that equal vectors can be counted."""
     given = (
-        F.when((F.col("a_given") == "") | (F.col("b_given") == ""), 0.6)
-        .when(F.col("a_given") == F.col("b_given"), 1.0)
+        F.when(F.col("a_given") == F.col("b_given"), 1.0)
+        .when((F.col("a_given") == "") | (F.col("b_given") == ""), 0.6)
         .when(F.col("a_given").startswith(F.col("b_given")) | F.col("b_given").startswith(F.col("a_given")) | F.col("short_for"), 0.95)
         .otherwise(_alike(F.col("a_given"), F.col("b_given")))
     )
@@ -171,6 +177,14 @@ def _candidates(statements: DataFrame, nicknames: DataFrame) -> DataFrame:
     return similarities(named).select(F.col("a_key").alias("a"), F.col("b_key").alias("b"), (F.col("a_side") != F.col("b_side")).alias("across"), *SIMILARITIES)
 
 
+def _dated_by_event(read: DataFrame, first: DataFrame) -> DataFrame:
+    """read, where statements without a day get the one that most others of their event have."""
+    ids = first.where("market_id is not null").select(F.col("market_id").alias("id"), "event_id").distinct()
+    of_event = read.join(ids, "id")
+    usual = of_event.where("scope = 'game' and day is not null and event_id is not null").groupBy("event_id").agg(F.mode("day", True).alias("__usual"))
+    return of_event.join(usual, "event_id", "left").select(*[F.coalesce("day", "__usual").alias("day") if c == "day" else read[c] for c in read.columns]).distinct()
+
+
 def match_propositions(first: DataFrame, events: DataFrame, second: DataFrame, entities: DataFrame, aliases: DataFrame) -> DataFrame:
     """market_id, ticker, confidence: all pairs of rows whose "yes" may state the same result.
 
@@ -179,7 +193,8 @@ def match_propositions(first: DataFrame, events: DataFrame, second: DataFrame, e
     statement have no partner. Rows that read alike share their confidence.
     """
     asked = first.join(events.select("event_id", "title", "slug", "tags", "start_at"), "event_id", "left")
-    left = materialize(read_rows(asked.select("market_id", "question", "group_item_title", "sports_market_type", "line", "closed_time", "first_observed_at", "title", "slug", "tags", "start_at"), read_first))
+    read = read_rows(asked.select("market_id", "question", "group_item_title", "sports_market_type", "line", "closed_time", "first_observed_at", "title", "slug", "tags", "start_at"), read_first)
+    left = materialize(_dated_by_event(read, first))
     right = materialize(read_rows(second.select("ticker", "event_ticker", "title", "yes_sub_title", "rules_primary", "floor_strike"), read_second))
     forms = materialize(registry_forms(entities, aliases))
     person = forms.where("entity_type = 'person' and derived = 0").select("entity_id", "given", "family")
@@ -201,10 +216,17 @@ def match_propositions(first: DataFrame, events: DataFrame, second: DataFrame, e
     played = games.select("game", "t1", "t2", "game_day").distinct()
     sides = paired(left.where("scope = 'game'").select("side_a", "side_b", "day").distinct())
     dated = sides.where("day is not null").withColumn("near", F.explode(F.sequence(F.col("day") - 1, F.col("day") + 1))).join(played.withColumnRenamed("game_day", "near"), ["t1", "t2", "near"])
-    undated = sides.where("day is null").withColumn("near", F.lit(None).cast("int")).join(played.drop("game_day"), ["t1", "t2"])
-    fit_of = F.when(F.col("near").isNull(), 0.7).when(F.col("near") == F.col("day"), 1.0).otherwise(0.5) - 0.02 * (F.col("edits_a") + F.col("edits_b"))
+    # without any day the only game of two teams is very likely meant, of several each is unlikely
+    meetings = played.groupBy("t1", "t2").agg(F.collect_set("game").alias("games"))
+    undated = sides.where("day is null").join(meetings, ["t1", "t2"]).select("*", F.explode("games").alias("game"), (F.size("games") == 1).alias("only")).withColumn("near", F.lit(None).cast("int"))
+    fit_of = F.when(F.col("near").isNull(), F.when(F.col("only"), 0.95).otherwise(0.5)).when(F.col("near") == F.col("day"), 1.0).otherwise(0.5) - 0.02 * (F.col("edits_a") + F.col("edits_b"))
+    dated = dated.withColumn("only", F.lit(False))
     placed = dated.select("side_a", "side_b", "day", "game", "t1", "t2", fit_of.alias("fit")).unionByName(undated.select("side_a", "side_b", "day", "game", "t1", "t2", fit_of.alias("fit")))
     placed = placed.groupBy("side_a", "side_b", "day", "game", "t1", "t2").agg(F.max("fit").alias("fit"))
+    # two teams may play on two days in a row: a game on the day itself leaves no doubt
+    nearest = placed.groupBy("side_a", "side_b", "day", "t1", "t2").agg(F.max("fit").alias("best"))
+    nearer = placed.alias("p").join(nearest.alias("n"), (F.col("p.side_a") == F.col("n.side_a")) & (F.col("p.side_b") == F.col("n.side_b")) & F.col("p.day").eqNullSafe(F.col("n.day")) & (F.col("p.t1") == F.col("n.t1")) & (F.col("p.t2") == F.col("n.t2")))
+    placed = nearer.where("p.fit = n.best").select("p.*")
 
     on_game = left.where("scope = 'game'").withColumnRenamed("day", "__day")
     at = on_game.join(placed, (on_game["side_a"] == placed["side_a"]) & (on_game["side_b"] == placed["side_b"]) & on_game["__day"].eqNullSafe(placed["day"])).drop(placed["side_a"]).drop(placed["side_b"])

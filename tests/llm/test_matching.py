@@ -25,6 +25,18 @@ def test_a_constant_similarity_does_no_harm():
     assert p[0] > 0.9 and p[-1] < 0.1
 
 
+def test_the_unmatched_may_be_of_several_sorts():
+    """Another line, another person, another day: none of these large groups is taken for the matches."""
+    groups = {(1, 1, 1, 1): 9000, (1, 1, 0.36, 1): 3700, (1, 1, 0.13, 1): 1900, (1, 1, 0, 1): 1600, (1, 1, 1, 0): 2900, (1, 1, 1, 0.1): 1050, (1, 1, 1, 0.3): 160, (0.5, 1, 1, 1): 22, (0.5, 1, 1, 0): 32, (0.98, 1, 1, 1): 370, (1, 1, 1, 0.9): 40}
+    for scale in (1, 0.01):
+        for left_out in [None, *groups]:
+            kept = {v: max(1, round(n * scale)) for v, n in groups.items() if v != left_out}
+            x, count = np.array(list(kept), float), np.array(list(kept.values()), float)
+            p = dict(zip(kept, fit(x, count).posterior(x)))
+            for v in kept:
+                assert (p[v] > 0.5) == (min(v) >= 0.9), (scale, left_out, v, p[v])
+
+
 def test_transitivity_lowers_the_weaker_of_contradicting_matches(spark):
     pairs = lambda rows, a, b: spark.createDataFrame(rows, f"{a} long, {b} long, p double")
     scored = pairs([(1, 10, 0.9), (1, 11, 0.8), (2, 20, 0.9), (2, 21, 0.8), (3, 30, 0.99)], "l", "r")
