@@ -34,7 +34,7 @@ BELIEVED = (4, 9)
 BROADCAST_ROWS = 300_000
 
 # What is typed before and after a name, generational suffixes, and digits typed for letters.
-TITLES = "mr mrs ms dr sir coach rookie veteran qb rb fb wr te ot og lb cb db de dt dl ol hb ss fs lt rt the gm".split()
+TITLES = "mr mrs ms dr sir coach rookie veteran qb rb fb wr te ot og lb cb db dt dl ol hb ss fs lt rt the gm".split()
 TAILS = "fc sc kid".split()
 SUFFIXES = "jr sr ii iii iv v".split()
 DIGITS = str.maketrans("0135", "oles")
@@ -94,7 +94,8 @@ def readings(text: str | None, team: bool) -> list[tuple[str, str, str, str]]:
     if len(parts) > 1:
         family, given = parts[0], [t for p in parts[1:] for t in p]
         short = len(given) == 1 and (_is_short(given[0], True) or len(letters(given[0])) <= 3)
-        return [*([name("short", given, family)] if short else []), name("full", given, family)]
+        full = name("full", given, family)
+        return [*([name("short", given, family)] if short else []), *([full] if len(full[1]) > 1 else [])]
     tokens = parts[0]
     if team and "of" in map(str.lower, tokens[1:-1]):
         at = [t.lower() for t in tokens].index("of", 1)
@@ -109,7 +110,8 @@ def readings(text: str | None, team: bool) -> list[tuple[str, str, str, str]]:
     if team:
         out += [name("full", tokens[:-1], tokens[-1:]), name("full", tokens[1:], tokens[:1])]
     else:
-        out += [name("full", tokens[:1], tokens[1:]), name("full", tokens[-1:], tokens[:-1]), name("family", [], tokens)]
+        whole = [name("full", tokens[:1], tokens[1:]), name("full", tokens[-1:], tokens[:-1])]
+        out += [*(r for r in whole if len(r[1]) > 1 and len(r[2]) > 1), name("family", [], tokens)]
     return list(dict.fromkeys(out))
 
 
@@ -240,6 +242,8 @@ def registry_forms(entities: DataFrame, aliases: DataFrame) -> DataFrame:
     listed = aliases.join(entities.select("entity_id", "entity_type"), "entity_id").select("entity_id", "entity_type", F.col("alias").alias("name"))
     read = _read(named.unionByName(own).unionByName(listed).where("name is not null").distinct(), "name", "entity_type").drop("name")
     kept = materialize(read.where((F.col("reading") == "full") & (F.col("given") != "") | (F.col("reading") == "family") & (F.col("entity_type") == "team")).distinct())
+    # an initial is no given name: it would stand for every name it begins
+    kept = kept.where("entity_type = 'team' or length(given) > 1")
     person = kept.where("entity_type = 'person'")
     pairs = person.select("entity_id", F.col("given").alias("g"), "family").join(person.select("entity_id", F.col("given").alias("short"), "family"), ["entity_id", "family"]).where("g <> short").groupBy("g", "short").agg(F.count_distinct("entity_id").alias("n"))
     shorter = person.join(held(pairs.where("n > 1").select("g", "short")), person["given"] == F.col("g")).withColumn("given", F.col("short"))
@@ -288,7 +292,8 @@ def link_mentions(mentions: DataFrame, entities: DataFrame, aliases: DataFrame)
     in type. Where the evidence names a team, its members come first; members
     of other teams only count under their full name without any edit, and
     those whose team isn't known, as where no team is named, unless the
-    edits look like another name.
+    edits look like another name. Someone with other roles than the one told
+    isn't meant.
     """
     forms = materialize(registry_forms(entities, aliases))
     asked = mentions.select("mention_id", "text", "evidence", "entity_type", F.lower("person_role_hint").alias("hint"))
@@ -331,7 +336,9 @@ def link_mentions(mentions: DataFrame, entities: DataFrame, aliases: DataFrame)
     in_team = F.coalesce(F.arrays_overlap("teams", "member_of"), F.lit(False))
     other_team = F.col("teams").isNotNull() & F.col("member_of").isNotNull()
     sure = F.when(other_team, (F.col("reading") == "full") & (F.col("edits") == 0)).otherwise(~F.col("block") & ((F.col("reading") == "full") | (F.col("edits") == 0)))
-    believed = ranked.withColumn("in_team", in_team).where(F.col("in_team") | sure)
+    # a role that is told and known on both sides must be the same
+    other_role = F.col("hint").isNotNull() & (F.size(F.coalesce("roles", F.array().cast("array<string>"))) > 0) & ~F.array_contains("roles", F.col("hint"))
+    believed = ranked.withColumn("in_team", in_team).where((F.col("in_team") | sure) & ~F.coalesce(other_role, F.lit(False)))
     order = F.struct((~F.col("in_team")).alias("a"), F.col("cost").alias("b"))
     best = believed.groupBy("mention_id").agg(F.min(order).alias("__o"))
     tied = believed.join(best, "mention_id").where((F.col("__o.a") == ~F.col("in_team")) & (F.col("__o.b") == F.col("cost")))
