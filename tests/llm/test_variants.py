@@ -91,3 +91,13 @@ def test_empty_tables(spark):
     assert link_mentions(none, entities, aliases).count() == 0
     one = spark.createDataFrame([("m", "Luther Zanonnahan", "", "person", None, "", "")], MENTIONS)
     assert link_mentions(one, entities.limit(0), aliases.limit(0)).count() == 0
+
+
+def test_initials_stand_for_no_other_name(spark):
+    entities = spark.createDataFrame([("a", "Christopher Fenmont", "person", ["C. Fenmont"], ["coach"], []), ("b", "Caleb Ashmont", "person", ["C. Ashmont"], [], []), ("c", "Valentin De Nordivik", "person", [], [], [])], ENTITIES)
+    none = spark.createDataFrame([], ALIASES)
+    texts = {"Caleb Fenmont": None, "J. Fenmonts": None, "C. Fenmont": "a", "De Nordivik, Valentin": "c", "De Nordivik, Val.": "c", "Chirstopher Fenmont": "a"}
+    got = {r.mention_id: r.entity_id for r in link_mentions(spark.createDataFrame([(t, t, "", "person", None, "", "") for t in texts], MENTIONS), entities, none).collect()}
+    assert got == {t: e for t, e in texts.items() if e}
+    other_role = spark.createDataFrame([("m", "Christopher Fenmont", "", "person", "player", "", ""), ("n", "Christopher Fenmont", "", "person", "Coach", "", "")], MENTIONS)
+    assert [r.mention_id for r in link_mentions(other_role, entities, none).collect()] == ["n"]
