@@ -7,6 +7,7 @@ import unicodedata
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,14 +55,18 @@ def ratio_from(least: float):
         from difflib import SequenceMatcher
 
         # the matcher keeps what it worked out about its second text
-        matcher, last, out = SequenceMatcher(None), None, []
+        matcher, last, before, out = SequenceMatcher(None), None, None, []
         for x, y in zip(a, b):
             if x is None or y is None:
                 out.append(None)
                 continue
+            if (x, y) == before:
+                out.append(out[-1])
+                continue
             if y != last:
                 matcher.set_seq2(y)
                 last = y
+            before = x, y
             matcher.set_seq1(x)
             likely = matcher.real_quick_ratio() >= least and matcher.quick_ratio() >= least
             score = matcher.ratio() if likely else 0.0
@@ -71,6 +76,32 @@ def ratio_from(least: float):
     return bounded
 
 
+def _letters(texts: list[str]) -> np.ndarray:
+    """How often each text has the letters of each of 64 cells."""
+    counts = np.zeros((len(texts), 64), dtype=np.int32)
+    for i, text in enumerate(texts):
+        np.add.at(counts[i], [ord(c) % 64 for c in text], 1)
+    return counts
+
+
+def alike(names: list[str], aliases: list[str], least: float) -> Iterator[tuple[str, str, float]]:
+    """ratio() of all pairs where it is at least ``least``; letters in common, which bound it, spare most of the work."""
+    from difflib import SequenceMatcher
+
+    counts, lengths = _letters(names), np.array([len(n) for n in names])
+    matcher = SequenceMatcher(None)
+    for alias, own in zip(aliases, _letters(aliases)):
+        bound = 2.0 * np.minimum(counts, own).sum(axis=1) / np.maximum(lengths + len(alias), 1)
+        likely = np.flatnonzero(bound >= least)
+        if likely.size:
+            matcher.set_seq2(alias)
+        for i in likely:
+            matcher.set_seq1(names[i])
+            score = matcher.ratio() if matcher.quick_ratio() >= least else 0.0
+            if score >= least:
+                yield names[i], alias, score
+
+
 def names_agree(a: Column, b: Column, likeness: Column) -> Column:
     """Whether two comparable names may be one person's: equal but for suffixes, or of one last part, or of one first part and alike."""
     parts = lambda c: F.filter(F.split(c, " "), lambda t: ~t.isin("jr", "sr", "ii", "iii", "iv", "v") & (t != ""))

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeweave.functions.text import ratio_from
+from lodeweave.functions.text import alike, ratio_from
+from lodeweave.session import materialize
+
+#: Names of each side that one task compares all with all.
+PIECE = 4096
+#: Tasks that the names compared with one alias are dealt out to.
+SPREAD = 32
 
 
 def exact_matches(mentions: DataFrame, registry: DataFrame) -> DataFrame:
@@ -19,29 +26,59 @@ def safe_alias(typed: Column, alias: Column, entity_type: Column) -> Column:
     return long | ((entity_type == "team") & (F.upper(alias) == alias) & (typed == alias))
 
 
-def blocks(name: Column) -> Column:
+def blocks(name: Column, apart: str = r"[ \-]+") -> Column:
     """What two names must share one of to be compared: a word of two letters or more, or the first two letters."""
-    words = F.filter(F.split(name, r"[ \-]+"), lambda w: F.length(w) >= 2)
+    words = F.filter(F.split(name, apart), lambda w: F.length(w) >= 2)
     return F.array_distinct(F.concat(F.transform(words, lambda w: F.concat(F.lit("w:"), w)), F.array(F.concat(F.lit("p:"), F.substring(name, 1, 2)))))
 
 
+def _all_alike(names: DataFrame, known: DataFrame, least: float) -> DataFrame:
+    """name, alias, entity_type, score: every name against every alias of its type, piece by piece, so that no side has to fit a task."""
+    aliases = known.select("alias", "entity_type").distinct()
+    of = lambda df: -(-df.count() // PIECE)
+    n, m = max(of(names), int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))), max(of(aliases), 1)
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    piece = lambda c, k: F.pmod(F.xxhash64(c), F.lit(k)).cast("int")
+    left = names.select("name", "entity_type", piece("name", n).alias("__n"), every(m).alias("__m"))
+    right = aliases.select("alias", "entity_type", every(n).alias("__n"), piece("alias", m).alias("__m"))
+
+    def compare(asked: pa.Table, held: pa.Table) -> pa.Table:
+        found = list(alike(asked["name"].to_pylist(), held["alias"].to_pylist(), least)) if asked.num_rows and held.num_rows else []
+        kind = asked["entity_type"][0].as_py() if found else None
+        return pa.table({"name": pa.array([f[0] for f in found], pa.string()), "alias": pa.array([f[1] for f in found], pa.string()), "entity_type": pa.array([kind] * len(found), pa.string()), "score": pa.array([f[2] for f in found], pa.float64())})
+
+    keys = ["entity_type", "__n", "__m"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "name string, alias string, entity_type string, score double")
+
+
 def fuzzy_candidates(mentions: DataFrame, registry: DataFrame, limit: int = 8, least: float = 0.65) -> DataFrame:
     """mention_id, entity_id, score, rank: the entities of the mention's type most like it.
 
-    An entity's score is that of its likest name. Names are compared where
-    they share a block; distinct pairs of names are compared once. Ties are
-    ranked by entity.
+    An entity is compared where one of its names shares a block with the
+    mention's, and its score is that of the likest of all its names. A name
+    that shares no word and no first two letters with any name of any type is
+    compared with all of its type. Ties are ranked by entity.
     """
     asked = mentions.select("name", "entity_type").where("name <> ''").distinct()
-    known = registry.select(F.col("name").alias("alias"), "entity_type").where("name <> ''").distinct()
+    known = registry.select("entity_id", F.col("name").alias("alias"), "entity_type").where("name <> ''").distinct()
     left = asked.withColumn("block", F.explode(blocks(F.col("name"))))
-    right = known.withColumn("block", F.explode(blocks(F.col("alias"))))
-    pairs = left.join(right, ["block", "entity_type"]).select("name", "alias", "entity_type").distinct()
+    right = known.select("entity_id", "entity_type", F.explode(blocks(F.col("alias"))).alias("block")).distinct()
+    found = left.join(right, ["block", "entity_type"]).select("name", "entity_type", "entity_id").distinct()
+    pairs = found.join(known, ["entity_id", "entity_type"])
     # no two strings can be alike beyond twice the shorter over both lengths
     reach = 2.0 * F.least(F.length("name"), F.length("alias")) / (F.length("name") + F.length("alias"))
-    scored = pairs.where(reach >= least).sortWithinPartitions("alias").withColumn("score", ratio_from(least)("name", "alias")).where(F.col("score").isNotNull())
-    named = scored.join(registry.select("entity_id", F.col("name").alias("alias"), "entity_type").distinct(), ["alias", "entity_type"])
-    best = named.groupBy("name", "entity_type", "entity_id").agg(F.max("score").alias("score"))
+    # few bytes, but much work: the number of tasks is told
+    spread = pairs.where(reach >= least).repartition(2 * int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")), "alias", F.pmod(F.xxhash64("name"), F.lit(SPREAD)))
+    scored = spread.sortWithinPartitions("alias", "name").withColumn("score", ratio_from(least)("name", "alias")).where(F.col("score").isNotNull())
+
+    # blank-separated words only: parts of a hyphenated word find more, but don't spare a name the full comparison
+    whole = lambda c: F.explode(blocks(F.col(c), " +")).alias("block")
+    met = asked.select("name", "entity_type", whole("name")).join(known.select(whole("alias")).distinct(), "block", "left_semi")
+    lone = materialize(asked.join(met, ["name", "entity_type"], "left_anti"))
+    rest = _all_alike(lone, known, least).join(known, ["alias", "entity_type"])
+
+    kept = ["name", "entity_type", "entity_id"]
+    best = scored.select(*kept, "score").unionByName(rest.select(*kept, "score")).groupBy(*kept).agg(F.max("score").alias("score"))
     order = Window.partitionBy("name", "entity_type").orderBy(F.desc("score"), "entity_id")
     top = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
     return mentions.join(top, ["name", "entity_type"]).select("mention_id", "entity_id", "score", "rank")

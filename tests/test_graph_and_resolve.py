@@ -63,6 +63,34 @@ def test_fuzzy_candidates_against_difflib(spark):
     assert R.fuzzy_candidates(mentions, registry, limit=1).count() == 2 and R.fuzzy_candidates(mentions.limit(0), registry).count() == 0
 
 
+def _retrieved(text, kind, registry, least):
+    """The same by plain loops: blocks find entities, none of any type means all, all aliases are compared."""
+    words = lambda t: {w for w in t.split() if len(w) >= 2} | {("p", t[:2])}
+    found = {e for e, a, _ in registry if words(a) & words(text)} or {e for e, _, _ in registry}
+    scores = {}
+    for e, a, k in registry:
+        if e in found and k == kind and (score := SequenceMatcher(None, text, a).ratio()) >= least:
+            scores[e] = max(scores.get(e, 0), score)
+    return scores
+
+
+def test_fuzzy_candidates_use_all_aliases_and_all_rows_without_block(spark, monkeypatch):
+    monkeypatch.setattr(R, "PIECE", 2)
+    registry = [("e1", "jon stone", "person"), ("e1", "mikael stonner", "person"), ("e2", "mikael stonner", "person"), ("e3", "kristof meier", "person"), ("e4", "alvarez", "person"), ("e5", "alvarez", "team"), ("e6", "xu", "team"), ("e7", "zoe quill", "person")]
+    asked = [
+        ("m1", "jonas stonner", "person"), ("m2", "jo mihael sonner", "person"),  # found by one alias, likest another
+        ("m3", "cristof-maier", "person"), ("m4", "lvarez", "person"), ("m5", "lvarez", "team"), ("m6", "oristof meyer", "person"),  # no block
+        ("m7", "xu quil", "person"),  # a block of another type only
+        ("m8", "qqq", "person"),
+        ("m9", "hristof-xu", "person"), ("m10", "risto-meier", "person"),  # part of a hyphenated word is no word
+    ]
+    got = {}
+    for r in R.fuzzy_candidates(spark.createDataFrame(asked, "mention_id string, name string, entity_type string"), spark.createDataFrame(registry, "entity_id string, name string, entity_type string")).collect():
+        got.setdefault(r.mention_id, {})[r.entity_id] = r.score
+    want = {m: s for m, text, kind in asked if (s := _retrieved(text, kind, registry, 0.65))}
+    assert got == want and {"m2", "m3", "m4", "m5", "m6", "m10"} <= set(got) and "m7" not in got
+
+
 def test_short_aliases(spark):
     df = spark.createDataFrame([("NBO", "NBO", "team"), ("nbo", "NBO", "team"), ("NBO", "NBO", "person"), ("x", "Owls", "team")], "t string, a string, k string")
     assert [r[0] for r in df.select(R.safe_alias(F.col("t"), F.col("a"), F.col("k"))).collect()] == [True, False, False, True]
