@@ -92,9 +92,12 @@ def late_totals(stream: DataFrame, keys: Sequence[str], event: str, arrival: str
     """period_totals() as a stream in update mode: each output row replaces the one before of its keys and period.
 
     ``event`` and ``arrival`` are timestamps; the stream needs a watermark on
-    ``arrival``. A period's ordered state is its log of slots; it is dropped
-    once the watermark is past the cut-off, after which its records could only
-    be counted.
+    ``arrival``. A period's ordered state is its log of slots; once the
+    watermark is past the cut-off, only its total is kept, since later records
+    can only be counted. That total of one row per keys and period stays, so
+    that a record of any lateness is counted beside it. Spark itself drops
+    records that are read later than the watermark's delay behind others'
+    arrival.
     """
     start = (F.floor(F.unix_micros(event) / F.lit(rule.period)) * rule.period).cast("long")
     rows = stream.where(F.col(event).isNotNull() & F.col(arrival).isNotNull()).select(*keys, start.alias("period_us"), F.unix_micros(event).alias("e"), F.col(arrival).alias("a"), F.unix_micros(arrival).alias("a_us"), F.col(size).cast("string").alias("s"), F.col(worth).cast("string").alias("w"))
@@ -102,14 +105,15 @@ def late_totals(stream: DataFrame, keys: Sequence[str], event: str, arrival: str
     slots, names = -(-rule.period // rule.slot), [*keys, "period_us"]
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        held: dict[str, Any] = json.loads(state.get[0]) if state.exists else {"log": {}, "revision": 0, "tick": 0, "cut": 0}
+        held: dict[str, Any] = json.loads(state.get[0]) if state.exists else {"log": {}, "revision": 0, "tick": 0, "cut": 0, "final": None}
         ledger = Ledger(slots, rule.stride)
         for slot, (n, s, w) in held["log"].items():
             ledger.put(int(slot), n, Decimal(s), Decimal(w))
         ledger.replay(0)
+        if state.hasTimedOut:
+            n, s, w = ledger.total
+            state.update((json.dumps(held | {"log": {}, "final": (n, str(s), str(w))}),))
+            return
         end = int(key[-1]) + rule.period
         for row in pd.concat(list(batches)).sort_values("a_us").itertuples():
             if row.a_us > end + rule.cut_off:
@@ -121,10 +125,11 @@ def late_totals(stream: DataFrame, keys: Sequence[str], event: str, arrival: str
             tick = 0 if row.a_us <= end + rule.grace else int((row.a_us - end) // rule.tick) + 1
             if tick > held["tick"]:
                 held["revision"], held["tick"] = held["revision"] + 1, tick
-        n, s, w = ledger.total
+        n, s, w = held["final"] or ledger.total
         held["log"] = {i: (x[0], str(x[1]), str(x[2])) for i, x in enumerate(ledger.log) if x}
         state.update((json.dumps(held),))
-        state.setTimeoutTimestamp(max((end + rule.cut_off) // 1000, state.getCurrentWatermarkMs() + 1))
+        if not held["final"]:
+            state.setTimeoutTimestamp(max((end + rule.cut_off) // 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame([[*key, held["revision"], n, str(s), str(w), held["cut"]]], columns=out.names)
 
     return rows.groupBy(*names).applyInPandasWithState(fold, out, "held string", "update", GroupStateTimeout.EventTimeTimeout)

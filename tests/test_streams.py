@@ -68,3 +68,22 @@ def test_late_totals_equal_batch(spark, tmp_path):
     df = spark.createDataFrame(rows, like.schema).withColumns({"e": F.unix_micros("e"), "a": F.unix_micros("a")})
     batch = {(r.k, r.period_us): (r.n, r["size"], r.worth, r.n_cut_off) for r in period_totals(df, ["k"], "e", "a", F.col("s"), F.col("w")).collect()}
     assert last == batch and MINUTE == 60_000_000
+
+
+def test_late_totals_stay_when_records_come_after_the_state_is_settled(spark, tmp_path):
+    at = lambda minutes: T0 + dt.timedelta(minutes=minutes)
+    rows = [("a", at(5), at(6), Decimal(3), Decimal(4)), ("a", at(7), at(200), Decimal(1), Decimal(1))]
+    rows += [("b", at(60 * h), at(60 * h), Decimal(1), Decimal(1)) for h in (40, 45)]  # the watermark passes the first hour's cut-off
+    rows += [("a", at(9), at(60 * 46), Decimal(8), Decimal(8)), ("b", at(60 * 50), at(60 * 50), Decimal(1), Decimal(1)), ("a", at(11), at(60 * 51), Decimal(8), Decimal(8)), ("c", at(11), at(60 * 52), Decimal(8), Decimal(8))]
+    like = _files(spark, tmp_path / "in", [[r] for r in rows], "k string, e timestamp, a timestamp, s decimal(18,8), w decimal(18,8)")
+    stream = J.late_totals(J.file_stream(spark, str(tmp_path / "in"), like).withWatermark("a", "1 hour"), ["k"], "e", "a", "s", "w")
+    last = {}
+
+    def keep(batch, number):
+        for r in batch.collect():
+            last[r.k, r.period_us] = (r.revision, r.n, Decimal(r["size"]), Decimal(r.worth), r.n_cut_off)
+
+    J.run_all(stream, str(tmp_path / "out"), each=keep, mode="update")
+    df = spark.createDataFrame(rows, like.schema).withColumns({"e": F.unix_micros("e"), "a": F.unix_micros("a")})
+    batch = {(r.k, r.period_us): (r.revision, r.n, r["size"], r.worth, r.n_cut_off) for r in period_totals(df, ["k"], "e", "a", F.col("s"), F.col("w")).collect()}
+    assert last == batch and (1, 2, 4, 5, 2) in last.values()
