@@ -178,8 +178,11 @@ class _Page(HTMLParser):
                     blocks[-1].append(data)
 
 
-def article(html: str | None, most: int = 12_000) -> str | None:
-    """The text of a page: paragraphs, headings and list items of its article, else main part, else body, else all text."""
+def article(html: str | None, most: int | None = 12_000) -> str | None:
+    """The text of a page: paragraphs, headings and list items of its article, else main part, else body, else all text.
+
+    At most ``most`` characters, as the reference has it; all with None.
+    """
     if html is None:
         return None
     page = _Page()
@@ -194,6 +197,6 @@ def article(html: str | None, most: int = 12_000) -> str | None:
 
 @F.pandas_udf(T.StringType())
 def article_text(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """article() of a column, in Arrow batches."""
+    """The whole article() of a column's marked-up texts, and its plain texts with single blanks, in Arrow batches."""
     for part in pages:
-        yield part.map(article, na_action="ignore")
+        yield part.map(lambda x: article(x, None) if "</" in x else " ".join(x.split()), na_action="ignore")

@@ -631,7 +631,7 @@ def placeholder_classifier(s: SparkSession, d: str) -> DataFrame:
 @query()
 def article_text_extract(s: SparkSession, d: str) -> DataFrame:
     """No SQL: parsing pages has no SQL form; unit-tested."""
-    return table(s, d, "documents").where(F.contains("text", F.lit("</"))).select("doc_id", X.article_text("text").alias("article"))
+    return table(s, d, "documents").where("text is not null").select("doc_id", X.article_text("text").alias("article"))
 
 
 @query("""with urls as (select doc_id, unnest(regexp_extract_all(text, 'https?://[^\\s]+')) as url from documents where text is not null)

@@ -59,3 +59,12 @@ def test_buckets(spark):
     rule = Rule(0.01, most_spread=0.06, least_depth=2, min_trades=2, min_worth=5)
     cast = lambda c: F.col(c).cast("decimal(18,8)")
     assert [r[0] for r in df.select(bucket(rule, cast("d"), cast("s"), [cast("p")], F.col("c"), cast("w"))).collect()] == [None, "up", "down", "flat", "up", "flat", None, None, None, "flat"]
+
+
+def test_article_query_keeps_long_pages_and_plain_texts(spark, tmp_path):
+    from lodeweave.plans import reference
+
+    texts = ["<p>" + "x" * 20_000 + "</p><p>end</p>", " a  <b\nc ", None, "z " * 9_000]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.article for r in reference.article_text_extract(spark, str(tmp_path)).collect()}
+    assert got == {0: "x" * 20_000 + "\nend", 1: "a <b c", 3: ("z " * 9_000).strip()}
