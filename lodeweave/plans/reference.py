@@ -721,10 +721,11 @@ def _stream_folder(s: SparkSession) -> str:
 
 @query("select distinct trade_uid, market_id, epoch_us(traded_at) as traded_us from polymarket_trades")
 def stream_trades_dedupe(s: SparkSession, d: str) -> DataFrame:
-    rows = table(s, d, "polymarket_trades").select("trade_uid", "market_id", "traded_at")
-    stream = J.file_stream(s, f"{d}/polymarket_trades.parquet", rows, files_per_batch=1000).withColumn("at", F.col("traded_at").cast("timestamp"))
-    found = J.run_all(J.distinct_records(stream, ["trade_uid"], "at", "40 days"), _stream_folder(s))
-    return found.select("trade_uid", "market_id", micros("at").alias("traded_us"))
+    rows, folder = table(s, d, "polymarket_trades").select("trade_uid", "market_id", "traded_at"), _stream_folder(s)
+    stream = J.file_stream(s, f"{d}/polymarket_trades.parquet", rows, files_per_batch=1000).select("trade_uid", "market_id", micros("traded_at").alias("traded_us"))
+    first = J.FirstRecords(s, folder, stream.schema, ["trade_uid"], F.struct("traded_us", "market_id"))
+    J.run_all(stream, folder, each=first.merge)
+    return first.table()
 
 
 @query("select ticker, epoch_us(observed_at) as seen_us, best_bid, best_ask, raw_ingest_run_id from kalshi_current_order_books qualify row_number() over (partition by ticker order by observed_at desc, raw_ingest_run_id desc) = 1")

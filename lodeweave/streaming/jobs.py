@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lodeweave.operators.late import Lateness, Ledger
-from lodeweave.operators.merge import newest_wins
+from lodeweave.operators.merge import insert_ignore, newest_wins
 
 
 def file_stream(spark: SparkSession, path: str, like: DataFrame, files_per_batch: int = 1) -> DataFrame:
@@ -73,6 +73,24 @@ class CurrentState:
         self.last = number
 
 
+class FirstRecords:
+    """The first row of each key, however far apart its rows are: each batch adds the keys that no batch before it has."""
+
+    def __init__(self, spark: SparkSession, folder: str, schema: T.StructType, keys: Sequence[str], order: Column):
+        self.spark, self.folder, self.schema, self.keys, self.order, self.batches = spark, folder, schema, list(keys), order, 0
+
+    def table(self, batches: int | None = None) -> DataFrame:
+        paths = [f"{self.folder}/first/batch={n}" for n in range(self.batches if batches is None else batches)]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def merge(self, batch: DataFrame, number: int) -> None:
+        """Adds a batch; repeating one gives the same table."""
+        fresh = batch.select(*self.schema.names).join(self.table(number).select(*self.keys), self.keys, "left_anti")
+        none = self.spark.createDataFrame([], self.schema)
+        insert_ignore(none, fresh, self.keys, self.order).write.mode("overwrite").parquet(f"{self.folder}/first/batch={number}")
+        self.batches = number + 1
+
+
 class OnlyChanges:
     """Calls ``each`` for the batches whose digest differs from the last one's; a batch without change only moves the poll time."""
 

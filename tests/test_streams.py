@@ -87,3 +87,15 @@ def test_late_totals_stay_when_records_come_after_the_state_is_settled(spark, tm
     df = spark.createDataFrame(rows, like.schema).withColumns({"e": F.unix_micros("e"), "a": F.unix_micros("a")})
     batch = {(r.k, r.period_us): (r.revision, r.n, r["size"], r.worth, r.n_cut_off) for r in period_totals(df, ["k"], "e", "a", F.col("s"), F.col("w")).collect()}
     assert last == batch and (1, 2, 4, 5, 2) in last.values()
+
+
+def test_trades_of_any_span_are_kept_over_batches(spark, tmp_path, monkeypatch):
+    from lodeweave.plans import reference
+
+    at = lambda days: T0 + dt.timedelta(days=days)
+    parts = [[("new", "m", at(200))], [("old", "m", at(1)), ("new", "m", at(200))], [("older", "m", at(0)), ("old", "m", at(1)), ("old", "m", at(1))]]
+    for rows in parts:
+        spark.createDataFrame(rows, "trade_uid string, market_id string, traded_at timestamp").coalesce(1).write.mode("append").parquet(f"{tmp_path}/polymarket_trades.parquet")
+    whole = J.file_stream
+    monkeypatch.setattr(J, "file_stream", lambda s, path, like, files_per_batch=1: whole(s, path, like, 1))
+    assert sorted(r.trade_uid for r in reference.stream_trades_dedupe(spark, str(tmp_path)).collect()) == ["new", "old", "older"]
