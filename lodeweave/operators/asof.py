@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -72,12 +72,18 @@ def asof_horizons(left: DataFrame, right: DataFrame, keys: Sequence[str], left_u
 
 
 def coverage(left: DataFrame, right: DataFrame, keys: Sequence[str], left_us: str, right_us: str, window_us: int) -> DataFrame:
-    """left with n_seen and max_gap_us over the window from left_us on; the gaps at both edges count, and without rows the gap is null."""
+    """left with n_seen and max_gap_us over the window from left_us on; the gaps at both edges count, and without rows the gap is null.
+
+    Each row's gap to the one before it is taken as the rows stream by in
+    order; no window's rows are gathered in one value.
+    """
     times = right.select(*keys, right_us).distinct()
-    found = within(left, times, keys, F.col(left_us), F.col(left_us) + window_us, right_us, max(1, window_us))
-    seen = found.groupBy(*left.columns).agg(F.array_sort(F.collect_list(f"r.{right_us}")).alias("__t"))
-    gaps = F.zip_with(F.concat("__t", F.array(F.col(left_us) + window_us)), F.concat(F.array(F.col(left_us)), F.col("__t")), lambda a, b: a - b)
-    marked = seen.select(*[F.col(c).alias(f"__l{i}") for i, c in enumerate(left.columns)], F.size("__t").alias("n_seen"), F.array_max(gaps).alias("max_gap_us"))
+    found = within(left, times, keys, F.col(left_us), F.col(left_us) + window_us, right_us, max(1, window_us)).withColumn("__t", F.col(f"r.{right_us}"))
+    before = F.lag("__t").over(Window.partitionBy(*left.columns).orderBy("__t"))
+    gaps = found.select(*left.columns, "__t", (F.col("__t") - F.coalesce(before, F.col(left_us))).alias("__gap"))
+    last = F.col(left_us) + window_us - F.max("__t")
+    seen = gaps.groupBy(*left.columns).agg(F.count(F.lit(1)).cast("int").alias("n_seen"), F.greatest(F.max("__gap"), last).alias("max_gap_us"))
+    marked = seen.select(*[F.col(c).alias(f"__l{i}") for i, c in enumerate(left.columns)], "n_seen", "max_gap_us")
     on = F.lit(True)
     for i, c in enumerate(left.columns):
         on = on & left[c].eqNullSafe(F.col(f"__l{i}"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodeweave.session import materialize
+from lodeweave.session import discard, materialize
 
 #: Rounds after which a graph that hasn't settled is an error; each at least halves a chain.
 MAX_ROUNDS = 40
@@ -39,7 +39,8 @@ def components(nodes: DataFrame, edges: DataFrame, node: str) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
-        now = materialize(small)
+        before, now = now, materialize(small)
+        discard(before)
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
             break

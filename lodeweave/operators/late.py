@@ -51,8 +51,8 @@ class Ledger:
         self.log[slot] = (n, size, worth) if had is None else (had[0] + n, had[1] + size, had[2] + worth)
 
     def replay(self, slot: int) -> None:
-        """Restore the checkpoint before the slot and run the suffix again, with a new checkpoint after every stride."""
-        first = slot // self.stride
+        """Restore the last checkpoint before the slot and run the suffix again, with a new checkpoint after every stride."""
+        first = min(slot // self.stride, len(self.marks) - 1)
         del self.marks[first + 1 :]
         state = self.marks[first]
         for start in range(first * self.stride, len(self.log), self.stride):
@@ -62,6 +62,19 @@ class Ledger:
                     self.replayed += 1
             self.marks.append(state)
 
+    def dump(self) -> dict:
+        """The log and the checkpoints, as plain values."""
+        return {"log": {i: (x[0], str(x[1]), str(x[2])) for i, x in enumerate(self.log) if x}, "marks": [(n, str(s), str(w)) for n, s, w in self.marks]}
+
+    @classmethod
+    def load(cls, held: dict, slots: int, stride: int) -> Ledger:
+        """The ledger as it was dumped; nothing is replayed."""
+        out, exact = cls(slots, stride), lambda x: (x[0], Decimal(x[1]), Decimal(x[2]))
+        for slot, x in held["log"].items():
+            out.log[int(slot)] = exact(x)
+        out.marks = [exact(x) for x in held["marks"]]
+        return out
+
     @property
     def total(self) -> tuple:
         return self.marks[-1]

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lodeweave.functions import enrich as C
@@ -19,6 +20,7 @@ from lodeweave.operators import linking as L
 from lodeweave.operators import merge as M
 from lodeweave.operators import queue as Q
 from lodeweave.operators import resolve as R
+from lodeweave.plans.training import P6_ARRIVED, arrived_trades
 from lodeweave.session import shared_folder
 from lodeweave.sources import records as N
 from lodeweave.streaming import jobs as J
@@ -719,19 +721,43 @@ def _stream_folder(s: SparkSession) -> str:
     return f"{shared_folder(s)}/stream-{uuid.uuid4().hex}"
 
 
+def _landed(rows: DataFrame, folder: str, files: int = 6) -> DataFrame:
+    """The rows as a stream of ``files`` files of two a micro-batch, so that every batch but the first meets the state of those before."""
+    rows.repartition(files).write.parquet(f"{folder}/landed")
+    return J.file_stream(rows.sparkSession, f"{folder}/landed", rows, files_per_batch=2)
+
+
 @query("select distinct trade_uid, market_id, epoch_us(traded_at) as traded_us from polymarket_trades")
 def stream_trades_dedupe(s: SparkSession, d: str) -> DataFrame:
-    rows, folder = table(s, d, "polymarket_trades").select("trade_uid", "market_id", "traded_at"), _stream_folder(s)
-    stream = J.file_stream(s, f"{d}/polymarket_trades.parquet", rows, files_per_batch=1000).select("trade_uid", "market_id", micros("traded_at").alias("traded_us"))
-    first = J.FirstRecords(s, folder, stream.schema, ["trade_uid"], F.struct("traded_us", "market_id"))
-    J.run_all(stream, folder, each=first.merge)
+    rows, folder = table(s, d, "polymarket_trades").select("trade_uid", "market_id", micros("traded_at").alias("traded_us")), _stream_folder(s)
+    first = J.FirstRecords(s, folder, rows.schema, ["trade_uid"], F.struct("traded_us", "market_id"))
+    J.run_all(_landed(rows, folder), folder, each=first.merge)
     return first.table()
 
 
 @query("select ticker, epoch_us(observed_at) as seen_us, best_bid, best_ask, raw_ingest_run_id from kalshi_current_order_books qualify row_number() over (partition by ticker order by observed_at desc, raw_ingest_run_id desc) = 1")
 def stream_current_state(s: SparkSession, d: str) -> DataFrame:
-    folder, shown = _stream_folder(s), [F.col("ticker"), micros("observed_at").alias("seen_us"), F.col("best_bid"), F.col("best_ask"), F.col("raw_ingest_run_id")]
-    books = table(s, d, "kalshi_current_order_books")
-    state = J.CurrentState(s, folder, books.select(*shown).schema, ["ticker"], "seen_us", ties=["raw_ingest_run_id"])
-    J.run_all(J.file_stream(s, f"{d}/kalshi_current_order_books.parquet", books, files_per_batch=1000).select(*shown), folder, each=state.merge)
-    return state.table()
+    """The same as latest_per_key, but with a restart in the middle: the second half of the files comes to a new writer."""
+    folder = _stream_folder(s)
+    books = table(s, d, "kalshi_current_order_books").select("ticker", micros("observed_at").alias("seen_us"), "best_bid", "best_ask", "raw_ingest_run_id")
+    state = lambda: J.CurrentState(s, folder, books.schema, ["ticker"], "seen_us", ties=["raw_ingest_run_id"])
+    half = F.pmod(F.xxhash64("ticker", "seen_us"), F.lit(2))
+    for part in (0, 1):
+        books.where(half == part).repartition(3).write.parquet(f"{folder}/landed/{part}")
+        J.run_all(J.file_stream(s, f"{folder}/landed", books, files_per_batch=2), folder, each=state().merge)
+    return state().table()
+
+
+@query(P6_ARRIVED + """ select market_id, epoch_us(hour) as period_us, count(*) filter (came <= hour + interval 25 hour) as n,
+  coalesce(sum(size) filter (came <= hour + interval 25 hour), 0)::decimal(38,8) as size, count(*) filter (came > hour + interval 25 hour) as n_cut_off
+from arrived where market_id is not null and traded_at is not null group by market_id, hour""")
+def stream_late_totals(s: SparkSession, d: str) -> DataFrame:
+    """The hourly totals as a stream in order of arrival over several micro-batches; the last row of each hour counts."""
+    folder = _stream_folder(s)
+    rows = arrived_trades(s, d).select("market_id", F.timestamp_micros("traded_us").alias("e"), F.timestamp_micros("arrived_us").alias("a"), F.col("size").alias("s"), (F.col("price") * F.col("size")).alias("w")).where("market_id is not null")
+    rows.repartitionByRange(6, "a").sortWithinPartitions("a").write.parquet(f"{folder}/landed")
+    stream = J.late_totals(J.file_stream(s, f"{folder}/landed", rows, files_per_batch=2).withWatermark("a", "400 days"), ["market_id"], "e", "a", "s", "w")
+    shape = T.StructType([*[stream.schema[c] for c in ("market_id", "period_us", "n", "size", "n_cut_off")], T.StructField("batch", T.LongType())])
+    last = J.CurrentState(s, folder, shape, ["market_id", "period_us"], "batch")
+    J.run_all(stream, folder, each=lambda batch, n: last.merge(batch.withColumn("batch", F.lit(n).cast("long")), n), mode="update")
+    return last.table().select("market_id", "period_us", "n", F.col("size").cast("decimal(38,8)").alias("size"), "n_cut_off")

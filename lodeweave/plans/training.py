@@ -8,22 +8,27 @@ from pyspark.sql import functions as F
 from lodeweave.operators.dyadic import join_valid_at, latest_valid
 from lodeweave.operators.history import Attribute, attribute_history, attribute_intervals, change_log, observations
 from lodeweave.operators.late import first_arrivals, period_totals
-from lodeweave.operators.skew import next_value
+from lodeweave.operators.skew import pieces_needed
 from lodeweave.operators.snapshots import consecutive, plain_name, plain_set, snapshot_changes
 from lodeweave.tables import micros, table
 
 # ---------------------------------------------------------------- p2
 
 
+def roster_facts(relations: DataFrame) -> DataFrame:
+    """The rows that tell whom a subject was rostered by, with when it held and when it became known."""
+    return relations.where("predicate = 'rostered_by'").select(
+        F.col("subject_entity_id").alias("subject_id"), "object_entity_id", "relationship_id",
+        micros("valid_from").alias("from_us"), micros("valid_to").alias("to_us"), micros("created_at").alias("known_us"),
+    )
+
+
 def roster_at(posts: DataFrame, mentions: DataFrame, relations: DataFrame) -> DataFrame:
     """news_id, subject_id, value_id: the team each resolved entity of a post was rostered by, as known at its time."""
     timed = posts.select("news_id", micros("published_at").alias("at_us")).where("at_us is not null").distinct()
     named = mentions.where("entity_id is not null").select("news_id", F.col("entity_id").alias("subject_id")).distinct()
     events = named.join(timed, "news_id")
-    facts = relations.where("predicate = 'rostered_by'").select(
-        F.col("subject_entity_id").alias("subject_id"), "object_entity_id", "relationship_id",
-        micros("valid_from").alias("from_us"), micros("valid_to").alias("to_us"), micros("created_at").alias("known_us"),
-    )
+    facts = roster_facts(relations)
     held = join_valid_at(events, facts, ["subject_id"], "at_us", "from_us", "to_us").where("known_us <= at_us")
     order = [F.coalesce("from_us", F.lit(-(1 << 62))), F.col("known_us"), F.col("relationship_id")]
     return latest_valid(held, ["news_id", "subject_id"], order, F.col("object_entity_id"), "value_id")
@@ -35,8 +40,10 @@ def content_at(posts: DataFrame, links: DataFrame, versions: DataFrame) -> DataF
     linked = links.where("platform = 'polymarket'").select("news_id", F.col("market_id").alias("subject_id")).distinct()
     events = linked.join(timed, "news_id")
     content = Attribute("content_sha256", F.col("content_sha256"))
-    seen = observations(versions.withColumnRenamed("market_id", "subject_id"), ["subject_id"], micros("observed_at"), [content])
-    facts = attribute_intervals(change_log(seen, ["subject_id"], [content]), ["subject_id"]).drop("attribute")
+    named = versions.withColumnRenamed("market_id", "subject_id")
+    pieces = pieces_needed(named, ["subject_id"])
+    seen = observations(named, ["subject_id"], micros("observed_at"), [content], pieces)
+    facts = attribute_intervals(change_log(seen, ["subject_id"], [content], pieces=pieces), ["subject_id"], pieces=pieces).drop("attribute")
     held = join_valid_at(events, facts, ["subject_id"], "at_us", "valid_from_us", "valid_to_us", bits=32, levels=20)
     return latest_valid(held.where("value is not null"), ["news_id", "subject_id"], [F.col("valid_from_us")], F.col("value"), "value_id")
 
@@ -74,27 +81,27 @@ select news_id, attribute_name, subject_id, value_id from contents where rn = 1
 # ---------------------------------------------------------------- p4
 
 
-def _shown(history: DataFrame, platform: str) -> DataFrame:
-    return history.select(F.lit(platform).alias("platform"), "market_id", "valid_from_us", F.coalesce("valid_to_us", F.lit(-1).cast("long")).alias("valid_to_us"))
-
+def market_states(first: DataFrame, second: DataFrame, second_now: DataFrame) -> DataFrame:
+    """platform, market_id, valid_from_us, valid_to_us, content_sha256, status: both platforms' histories in one scan.
 
-def polymarket_states(versions: DataFrame) -> DataFrame:
-    """market_id, valid_from_us, valid_to_us, content_sha256."""
-    return attribute_history(versions, ["market_id"], micros("observed_at"), [Attribute("content_sha256", F.col("content_sha256"))])
+    The first platform reports no status. The present rows of the second count
+    as one more observation.
+    """
+    none = F.lit(None).cast("string")
+    seen = first.select(F.lit("polymarket").alias("platform"), "market_id", "observed_at", "content_sha256", none.alias("status"))
+    kalshi = second.select(F.lit("kalshi").alias("platform"), F.col("ticker").alias("market_id"), "observed_at", "content_sha256", "status")
+    now = second_now.select(F.lit("kalshi").alias("platform"), F.col("ticker").alias("market_id"), F.col("last_observed_at").alias("observed_at"), F.col("current_content_sha256").alias("content_sha256"), "status")
+    status = Attribute("status", F.lower(F.trim("status")), keeps_last=True)
+    return attribute_history(seen.unionByName(kalshi).unionByName(now), ["platform", "market_id"], micros("observed_at"), [Attribute("content_sha256", F.col("content_sha256")), status])
 
 
-def kalshi_states(versions: DataFrame, markets: DataFrame) -> DataFrame:
-    """market_id, valid_from_us, valid_to_us, content_sha256, status; the present row counts as one more observation."""
-    seen = versions.select(F.col("ticker").alias("market_id"), "observed_at", "content_sha256", "status")
-    now = markets.select(F.col("ticker").alias("market_id"), F.col("last_observed_at").alias("observed_at"), F.col("current_content_sha256").alias("content_sha256"), "status")
-    status = Attribute("status", F.lower(F.trim("status")), keeps_last=True)
-    return attribute_history(seen.unionByName(now), ["market_id"], micros("observed_at"), [Attribute("content_sha256", F.col("content_sha256")), status])
+def p4_states(spark: SparkSession, folder: str) -> DataFrame:
+    """The states themselves: platform, market_id, valid_from_us, valid_to_us, content_sha256, status."""
+    return market_states(*(table(spark, folder, n) for n in ("polymarket_market_versions", "kalshi_market_versions", "kalshi_markets")))
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    first = polymarket_states(table(spark, folder, "polymarket_market_versions"))
-    second = kalshi_states(table(spark, folder, "kalshi_market_versions"), table(spark, folder, "kalshi_markets"))
-    return _shown(first, "polymarket").unionByName(_shown(second, "kalshi"))
+    return p4_states(spark, folder).select("platform", "market_id", "valid_from_us", F.coalesce("valid_to_us", F.lit(-1).cast("long")).alias("valid_to_us"))
 
 
 P4_SQL = """
@@ -102,7 +109,9 @@ with obs as (
   select 'polymarket' as platform, market_id, observed_at, content_sha256 as content, null::varchar as status from polymarket_market_versions
   union all select 'kalshi', ticker, observed_at, content_sha256, lower(trim(status)) from kalshi_market_versions
   union all select 'kalshi', ticker, last_observed_at, current_content_sha256, lower(trim(status)) from kalshi_markets),
-one as (select platform, market_id, observed_at, max(content) as content, max(status) as status from obs where observed_at is not null group by all),
+one as (select platform, market_id, observed_at, content, coalesce(status, any_status) as status from (
+  select *, max(status) over (partition by platform, market_id, observed_at) as any_status from obs where observed_at is not null
+  qualify row_number() over (partition by platform, market_id, observed_at order by content desc nulls last, status desc nulls last) = 1)),
 filled as (select platform, market_id, observed_at, content,
     last_value(status ignore nulls) over (partition by platform, market_id order by observed_at rows between unbounded preceding and current row) as status from one),
 marked as (select *, row_number() over w as rn, lag(content) over w as c0, lag(status) over w as s0 from filled window w as (partition by platform, market_id order by observed_at)),
@@ -113,19 +122,14 @@ from starts
 """
 
 
-def p4_states(spark: SparkSession, folder: str) -> DataFrame:
-    """The states themselves: platform, market_id, valid_from_us, valid_to_us, content_sha256, status."""
-    first = polymarket_states(table(spark, folder, "polymarket_market_versions")).withColumn("status", F.lit(None).cast("string"))
-    second = kalshi_states(table(spark, folder, "kalshi_market_versions"), table(spark, folder, "kalshi_markets"))
-    return first.withColumn("platform", F.lit("polymarket")).unionByName(second.withColumn("platform", F.lit("kalshi")))
-
-
 P4_STATES_SQL = """
 with obs as (
   select 'polymarket' as platform, market_id, observed_at, content_sha256 as content, null::varchar as status from polymarket_market_versions
   union all select 'kalshi', ticker, observed_at, content_sha256, lower(trim(status)) from kalshi_market_versions
   union all select 'kalshi', ticker, last_observed_at, current_content_sha256, lower(trim(status)) from kalshi_markets),
-one as (select platform, market_id, observed_at, max(content) as content, max(status) as status from obs where observed_at is not null group by all),
+one as (select platform, market_id, observed_at, content, coalesce(status, any_status) as status from (
+  select *, max(status) over (partition by platform, market_id, observed_at) as any_status from obs where observed_at is not null
+  qualify row_number() over (partition by platform, market_id, observed_at order by content desc nulls last, status desc nulls last) = 1)),
 filled as (select platform, market_id, observed_at, content,
     last_value(status ignore nulls) over (partition by platform, market_id order by observed_at rows between unbounded preceding and current row) as status from one),
 marked as (select *, row_number() over w as rn, lag(content) over w as c0, lag(status) over w as s0 from filled window w as (partition by platform, market_id order by observed_at)),
@@ -153,7 +157,7 @@ def registry_rows(snapshots: DataFrame) -> DataFrame:
         "version_id", F.lit("relationship").alias("record_kind"), F.col("e.source_key").alias("record_key"),
         F.to_json(F.struct(F.col("e.subject_entity_id").alias("s"), F.col("e.predicate").alias("p"), F.col("e.object_entity_id").alias("o"), F.col("e.evidence").alias("v"))).alias("content"),
     )
-    return entity.unionByName(relation).where("record_key is not null").withColumn("content", F.sha2("content", 256))
+    return entity.unionByName(relation).where("record_key is not null").withColumn("content", F.unhex(F.sha2("content", 256)))
 
 
 def completed_pairs(snapshots: DataFrame, bank: DataFrame) -> DataFrame:
@@ -199,12 +203,16 @@ where l.content is distinct from e.content
 # ---------------------------------------------------------------- p6
 
 
-def trade_hours(spark: SparkSession, folder: str) -> DataFrame:
-    """Hourly totals per market by event time, corrected until the cut-off."""
+def arrived_trades(spark: SparkSession, folder: str) -> DataFrame:
+    """trade_uid, market_id, traded_us, price, size and arrived_us of every trade that has arrived."""
     trades = table(spark, folder, "polymarket_trades").select("trade_uid", "market_id", "raw_ingest_run_id", micros("traded_at").alias("traded_us"), "price", "size")
     runs = table(spark, folder, "raw_ingest_objects").select("ingest_run_id", micros("ingested_at").alias("arrived_us"))
-    arrived = first_arrivals(trades, "trade_uid", "raw_ingest_run_id", runs, "ingest_run_id", "arrived_us", ["market_id", "traded_us", "price", "size"])
-    return period_totals(arrived, ["market_id"], "traded_us", "arrived_us", F.col("size"), F.col("price") * F.col("size"))
+    return first_arrivals(trades, "trade_uid", "raw_ingest_run_id", runs, "ingest_run_id", "arrived_us", ["market_id", "traded_us", "price", "size"])
+
+
+def trade_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly totals per market by event time, corrected until the cut-off."""
+    return period_totals(arrived_trades(spark, folder), ["market_id"], "traded_us", "arrived_us", F.col("size"), F.col("price") * F.col("size"))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:

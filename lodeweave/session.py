@@ -36,11 +36,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which all executors share.
 
-    Only where neither the session nor its context names one (tests on one
-    machine) a temporary folder is made, and removed at exit.
+    Only on a local master, where all tasks are in this process, may it be
+    unset (tests): a temporary folder is then made, and removed at exit. On a
+    cluster that is an error, since every executor would write to its own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="lodeweave-")
         atexit.register(shutil.rmtree, root, True)
         spark.sparkContext.setCheckpointDir(root)
@@ -53,13 +57,16 @@ def materialize(df: DataFrame) -> DataFrame:
 
     This cuts the lineage as checkpoint() does, but the copy is columnar, so a
     later step reads only the columns it needs. A lost executor costs nothing:
-    the files are on shared storage. Files are removed when the session ends.
+    the files are on shared storage. Files are removed when the session ends, or
+    by discard() before.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/lodeweave-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _remove_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._lodeweave_path = path
+    return back
 
 
 def ship(spark: SparkSession) -> None:
@@ -77,6 +84,49 @@ def ship(spark: SparkSession) -> None:
     context._lodeweave_shipped = True
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a table from materialize() that nothing reads any more."""
+    path = getattr(df, "_lodeweave_path", None)
+    if path:
+        SharedPath(df.sparkSession, path).delete(True)
+        _written[:] = [w for w in _written if w[1] != path]
+
+
+class SharedPath:
+    """One path of the file system that Spark uses for it, from the driver."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        jvm = spark.sparkContext._jvm
+        self.jvm, self.path = jvm, jvm.org.apache.hadoop.fs.Path(path)
+        self.system = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self.system.exists(self.path)
+
+    def names(self) -> list[str]:
+        """The names of what lies in the folder; none where it isn't there."""
+        return sorted(s.getPath().getName() for s in self.system.listStatus(self.path)) if self.exists() else []
+
+    def delete(self, deep: bool = False) -> None:
+        self.system.delete(self.path, deep)
+
+    def write(self, text: str) -> None:
+        """Replaces the file by the text; a reader sees the old or the new one, or none, but no part."""
+        part = self.path.suffix(".part")
+        out = self.system.create(part, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        self.system.delete(self.path, False)
+        self.system.rename(part, self.path)
+
+    def read(self) -> str:
+        data = self.system.open(self.path)
+        try:
+            return bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(data)).decode()
+        finally:
+            data.close()
+
+
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -89,8 +139,6 @@ def _remove_at_exit(spark: SparkSession, path: str) -> None:
 def _clean() -> None:
     for spark, path in _written:
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            SharedPath(spark, path).delete(True)
         except Exception:  # the session is already closed; its owner clears the folder
             return

@@ -32,10 +32,19 @@ def test_join_against_brute_force(spark):
     want = {(e, f) for e, k, t in events for f, g, lo, hi in facts if k is not None and k == g and t is not None and (lo is None or lo <= t) and (hi is None or hi > t)}
     left = spark.createDataFrame(events, "e int, k string, at long")
     right = spark.createDataFrame(facts, "f string, k string, lo long, hi long")
-    for bits in (30, 36, 50):
-        got = join_valid_at(left, right, ["k"], "at", "lo", "hi", bits=bits).select("e", "f").collect()
+    for bits, rows in ((30, 10**6), (36, 10**6), (50, 10**6), (44, 3)):
+        got = join_valid_at(left, right, ["k"], "at", "lo", "hi", bits=bits, rows=rows).select("e", "f").collect()
         assert len(got) == len(want) and {tuple(r) for r in got} == want
     assert join_valid_at(left, right.limit(0), ["k"], "at", "lo", "hi").count() == 0
+    assert join_valid_at(left.limit(0), right, ["k"], "at", "lo", "hi").count() == 0
+
+
+def test_all_events_at_one_time(spark):
+    left = spark.createDataFrame([(i, "a", 7) for i in range(5)], "e int, k string, at long")
+    right = spark.createDataFrame([("f", "a", None, None), ("g", "a", 7, 8), ("h", "a", 8, 9), ("i", "a", 0, 7)], "f string, k string, lo long, hi long")
+    for rows in (10, 2):
+        got = {(r.e, r.f) for r in join_valid_at(left, right, ["k"], "at", "lo", "hi", rows=rows).collect()}
+        assert got == {(i, f) for i in range(5) for f in "fg"}
 
 
 def test_precedence_is_deterministic(spark):

@@ -27,13 +27,16 @@ def test_a_status_reported_later_begins_a_period(spark):
 def test_nulls_ties_and_empty(spark):
     rows = [(None, 1, "A", None, "", ""), (None, None, "B", None, "", ""), ("t", 1, "A", None, "", ""), ("t", 1, "B", None, "", ""), ("n", 1, None, None, "", ""), ("n", 2, "A", None, "", "")]
     assert _history(spark, rows) == {(None, 1, None, "A", None), ("t", 1, None, "B", None), ("n", 1, 2, None, None), ("n", 2, None, "A", None)}
+    # one whole row counts, and a status it doesn't report comes from another of the same time
+    rows = [("w", 1, "A", "zzz", "", ""), ("w", 1, "B", "open", "", ""), ("r", 1, "A", "open", "", ""), ("r", 1, "B", None, "", "")]
+    assert _history(spark, rows) == {("w", 1, None, "B", "open"), ("r", 1, None, "B", "open")}
     df = spark.createDataFrame([], "k string, t long, c string, s string")
     assert attribute_history(df, ["k"], F.col("t"), _attributes()).count() == 0
 
 
 def test_cut_keys_give_the_same(spark):
     rows = [("hot" if i % 4 else f"k{i % 8}", i, "AB"[(i // 5) % 2], ["x", None, "y"][i % 3], "", "") for i in range(400)]
-    assert _history(spark, rows, rows=25, share=0.2) == _history(spark, rows)
+    assert _history(spark, rows, rows=25) == _history(spark, rows)
 
 
 def test_every_attribute_has_its_own_intervals(spark):

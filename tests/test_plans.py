@@ -1,6 +1,8 @@
 """Plans: what must not be in them."""
 
 import __spark_entry__ as entry
+from lodeweave.plans import training
+from lodeweave.tables import table
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -15,4 +17,5 @@ def test_no_cartesian_products_and_pruned_scans(spark):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
     plan = _plan(spark, "p6_found").split("== Physical Plan ==")[1]
     assert "transaction_hash" not in plan and "proxy_wallet" not in plan
-    assert "PushedFilters: [IsNotNull(predicate), EqualTo(predicate,rostered_by)" in _plan(spark, "p2_found")
+    facts = training.roster_facts(table(spark, SMALL, "entity_relationships"))._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(predicate), EqualTo(predicate,rostered_by)" in facts and "evidence" not in facts.split("ReadSchema")[-1]

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from lodeweave.operators.skew import cuts, next_value, prior_values
+from lodeweave.operators.skew import PIECE, hot_keys, in_ranges, next_value, pieces_needed, prior_values
 
 
 def _rows(seed=3, n=600):
@@ -29,11 +29,14 @@ def test_prior_values_alike_whether_cut_or_not(spark):
         assert {tuple(r) for r in got.collect()} == _expected(rows)
 
 
-def test_cuts_are_bounded_and_only_for_large_keys(spark):
+def test_ranges_bound_the_rows_of_a_task(spark):
     df = spark.createDataFrame(_rows(), "k string, t long, v int")
-    assert cuts(df, ["k"], "t") is None
-    found = cuts(df, ["k"], "t", share=0.5, rows=10).collect()
-    assert [r["k"] for r in found] == ["hot"] and len(found[0]["__cuts"]) <= 4
+    assert pieces_needed(df, ["k"]) == 1 and hot_keys(df, ["k"]) is None
+    assert pieces_needed(df, ["k"], 20) == 31 and pieces_needed(df.limit(0), ["k"], 20) == 1
+    sizes = [r["count"] for r in in_ranges(df, ["k"], "t", 31).groupBy(PIECE).count().collect()]
+    assert sum(sizes) == 600 and max(sizes) < 60
+    hot, parts = hot_keys(df, ["k"], 100)
+    assert [(r["k"], r["__parts"]) for r in hot.collect()] == [("hot", 4)] and parts == 4
 
 
 def test_next_value_and_empty_table(spark):

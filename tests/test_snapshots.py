@@ -1,12 +1,12 @@
 from pyspark.sql import functions as F
 
-from lodeweave.operators.snapshots import consecutive, plain_name, plain_set, snapshot_changes
+from lodeweave.operators.snapshots import consecutive, except_all_both_ways, plain_name, plain_set, snapshot_changes
 
 
 def test_pairs_follow_time_within_a_feed(spark):
     v = spark.createDataFrame([("c", "f", 3), ("a", "f", 1), ("b", "f", 1), ("z", None, 1), ("y", None, 2), ("x", "f", None)], "v string, feed string, t long")
     for limit in (10**6, 1):
-        got = {(r.v, r.previous) for r in consecutive(v, ["feed"], "v", "t", rows=limit, share=0.1).collect()}
+        got = {(r.v, r.previous) for r in consecutive(v, ["feed"], "v", "t", rows=limit).collect()}
         assert got == {("a", None), ("b", "a"), ("c", "b"), ("z", None), ("y", "z")}
 
 
@@ -17,6 +17,15 @@ def test_changes_by_key(spark):
     assert got == {("2", "gone", "removed"), ("2", "edit", "changed"), ("2", "new", "added"), ("2", "two", "changed")}
 
 
+def test_except_all_both_ways_against_except_all(spark):
+    a = spark.createDataFrame([("x", 1), ("x", 1), ("y", None), ("z", 3)], "k string, v int")
+    b = spark.createDataFrame([("x", 1), ("y", None), ("w", 4), ("w", 4)], "k string, v int")
+    both = a.selectExpr("k", "v", "1 as s").unionByName(b.selectExpr("k", "v", "-1 as s"))
+    got = {(r.k, r.v): r.left for r in except_all_both_ways(both, ["k", "v"], "s").collect()}
+    count = lambda df: {(r.k, r.v): r["count"] for r in df.groupBy("k", "v").count().collect()}
+    assert got == {**count(a.exceptAll(b)), **{k: -n for k, n in count(b.exceptAll(a)).items()}}
+
+
 def test_one_snapshot_empty(spark):
     rows = spark.createDataFrame([("1", "a", "x")], "v string, k string, c string")
     pairs = spark.createDataFrame([("1", None), ("2", "1")], "v string, previous string")

@@ -1,10 +1,13 @@
 import datetime as dt
+import json
 import random
 from decimal import Decimal
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lodeweave.operators.late import MINUTE, period_totals
+from lodeweave.operators.late import MINUTE, Ledger, period_totals
+from lodeweave.session import SharedPath
 from lodeweave.streaming import jobs as J
 
 T0 = dt.datetime(2024, 1, 1)
@@ -37,16 +40,42 @@ def test_current_state_equals_batch_and_repeats_harmlessly(spark, tmp_path):
         want[k] = (seen, first, v) if old is None else (*max((old[0], old[2]), (seen, v))[:1], min(old[1], first), max((old[0], old[2]), (seen, v))[1])
     shown = lambda: {r.k: (r.seen, r["first"], r.v) for r in state.table().collect()}
     assert shown() == want
-    state.merge(spark.createDataFrame(parts[-1], like.schema), state.last)
+    state.merge(spark.createDataFrame(parts[-1], like.schema), 3)
     assert shown() == want
 
 
-def test_only_changes(spark):
-    seen = []
-    only = J.OnlyChanges(F.max("v"), lambda b, n: seen.append(n))
-    for n, v in enumerate([1, 1, 2, 2, 1]):
+def test_current_state_goes_on_after_a_restart(spark, tmp_path):
+    out = str(tmp_path / "out")
+    make = lambda: J.CurrentState(spark, out, like.schema, ["k"], "seen", buckets=4)
+    like = _files(spark, tmp_path / "in", [[("a", 1), ("b", 1)], [("c", 2)]], "k string, seen int")
+    J.run_all(J.file_stream(spark, str(tmp_path / "in"), like), out, each=make().merge)
+    spark.createDataFrame([("a", 9), (None, 3)], like.schema).coalesce(1).write.parquet(str(tmp_path / "in" / "009"))
+    J.run_all(J.file_stream(spark, str(tmp_path / "in"), like), out, each=make().merge)
+    want = {("a", 9), ("b", 1), ("c", 2), (None, 3)}
+    assert {tuple(r) for r in make().table().collect()} == want
+    # a batch that ended half-written doesn't count, and is repeated
+    SharedPath(spark, f"{out}/state/batch=2/_SUCCESS").delete()
+    assert {tuple(r) for r in make().table().collect()} == {("a", 1), ("b", 1), ("c", 2)}
+    make().merge(spark.createDataFrame([("a", 9), (None, 3)], like.schema), 2)
+    assert {tuple(r) for r in make().table().collect()} == want
+
+
+def test_first_records_go_on_after_a_restart(spark, tmp_path):
+    make = lambda: J.FirstRecords(spark, str(tmp_path), T.StructType.fromDDL("k string, v int"), ["k"], F.col("v"))
+    for n, rows in enumerate([[("a", 1), ("b", 2)], [("a", 0), ("c", 3), ("c", 4)], [("b", 0)]]):
+        make().merge(spark.createDataFrame(rows, "k string, v int"), n)
+    assert {tuple(r) for r in make().table().collect()} == {("a", 1), ("b", 2), ("c", 3)}
+
+
+def test_only_changes_also_after_a_restart(spark, tmp_path):
+    seen, skipped = [], 0
+    for n, v in enumerate([1, 1, 2, 2, 1, None, None]):
+        only = J.OnlyChanges(spark, str(tmp_path), F.max("v"), lambda b, n: seen.append(n))
         only(spark.createDataFrame([(v,)], "v int"), n)
-    assert seen == [0, 2, 4] and only.skipped == 2
+        skipped += only.skipped
+    assert seen == [0, 2, 4, 5] and skipped == 3
+    J.OnlyChanges(spark, str(tmp_path), F.max("v"), lambda b, n: seen.append(n))(spark.createDataFrame([(None,)], "v int"), 6)
+    assert seen == [0, 2, 4, 5]  # the repeated batch is held against the one before it
 
 
 def test_late_totals_equal_batch(spark, tmp_path):
@@ -70,6 +99,18 @@ def test_late_totals_equal_batch(spark, tmp_path):
     assert last == batch and MINUTE == 60_000_000
 
 
+def test_a_dumped_ledger_replays_only_the_suffix():
+    ledger = Ledger(60, 8)
+    for slot in range(60):
+        ledger.put(slot, 1, Decimal(slot), Decimal(1))
+    ledger.replay(0)
+    back = Ledger.load(json.loads(json.dumps(ledger.dump())), 60, 8)
+    assert back.total == ledger.total and back.replayed == 0
+    back.put(50, 1, Decimal(7), Decimal(1))
+    back.replay(50)
+    assert back.total == (61, Decimal(sum(range(60)) + 7), Decimal(61)) and back.replayed == 12
+
+
 def test_late_totals_stay_when_records_come_after_the_state_is_settled(spark, tmp_path):
     at = lambda minutes: T0 + dt.timedelta(minutes=minutes)
     rows = [("a", at(5), at(6), Decimal(3), Decimal(4)), ("a", at(7), at(200), Decimal(1), Decimal(1))]
@@ -96,6 +137,5 @@ def test_trades_of_any_span_are_kept_over_batches(spark, tmp_path, monkeypatch):
     parts = [[("new", "m", at(200))], [("old", "m", at(1)), ("new", "m", at(200))], [("older", "m", at(0)), ("old", "m", at(1)), ("old", "m", at(1))]]
     for rows in parts:
         spark.createDataFrame(rows, "trade_uid string, market_id string, traded_at timestamp").coalesce(1).write.mode("append").parquet(f"{tmp_path}/polymarket_trades.parquet")
-    whole = J.file_stream
-    monkeypatch.setattr(J, "file_stream", lambda s, path, like, files_per_batch=1: whole(s, path, like, 1))
+    monkeypatch.setattr(J.FirstRecords, "__init__", lambda self, *a, kept=J.FirstRecords.__init__: kept(self, *a, buckets=2))
     assert sorted(r.trade_uid for r in reference.stream_trades_dedupe(spark, str(tmp_path)).collect()) == ["new", "old", "older"]
