@@ -33,5 +33,17 @@ def test_against_brute_force_with_a_hot_key_and_repeated_rows(spark):
         if near and near[0] <= 600 * S:
             want.add((i, near[1]))
     assert _run(spark, left, right + right[:50]) == want
-    assert _run(spark, left, right, block_us=1, groups=3) == want
-    assert _run(spark, left, right, block_us=10**11, block_rows=20, share=0.05) == want  # large blocks are dealt out
+    assert _run(spark, left, right, block_us=1) == want
+    for rows in (3, 20, 150):  # large blocks are cut into slots
+        assert _run(spark, left, right, block_us=10**11, group_rows=rows) == want
+
+
+def test_a_block_hot_on_either_side_or_both(spark):
+    rng = random.Random(5)
+    at = lambda n: [rng.randrange(0, 3600) * S + 7 for _ in range(n)]
+    burst = [1800 * S] * 60
+    for lefts, rights in ((at(300) + burst, [5 * S, 3000 * S]), ([10 * S, 1799 * S, -200 * S, 3700 * S], at(300) + burst), (at(200) + burst, at(200) + burst)):
+        left = [(i, "hot", t, "") for i, t in enumerate(lefts)]
+        right = [("hot", t, "", 0, "") for t in rights]
+        want = {(i, min((abs(t - u), u) for u in rights)[1]) for i, t in enumerate(lefts) if min(abs(t - u) for u in rights) <= 600 * S}
+        assert _run(spark, left, right, group_rows=20) == want
