@@ -1,3 +1,6 @@
+import random
+import time
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -37,6 +40,36 @@ def test_flow_is_largest_and_cheapest(a, ab, qa, qb, ra, rb):
     assert (sum(flow.values()), sum(v * (2 * k - 1) for (_, k, _), v in flow.items())) == _best(supply, quota, uses)
 
 
+def test_flow_re_routes_over_several_sources():
+    supply = {"ab": 10, "bc": 10, "cd": 10, "a": 5}
+    quota = {"a": 5, "b": 10, "c": 10, "d": 10}
+    flow = min_cost_flow(supply, quota, {(p, s): 1 for p in supply for s in p})
+    by = {s: sum(v for (_, _, t), v in flow.items() if t == s) for s in quota}
+    assert by == {"a": 5, "b": 10, "c": 10, "d": 10}
+    assert all(sum(v for (p, _, _), v in flow.items() if p == q) <= n for q, n in supply.items())
+
+
+def test_ten_thousand_patterns_are_quick():
+    rng = random.Random(4)
+    sources = [f"s{i:02d}" for i in range(24)]
+    patterns = {}
+    while len(patterns) < 10_000:
+        patterns["\x1f".join(sorted(rng.sample(sources, rng.randint(1, 7))))] = rng.randrange(1, 10**6)
+    total = sum(patterns.values())
+    quota = {s: total * rng.randint(1, 9) // 60 for s in sources}
+    began = time.perf_counter()
+    flow = min_cost_flow(patterns, quota, {(p, s): 1 + int(s[1:]) % 3 for p in patterns for s in p.split("\x1f")})
+    assert time.perf_counter() - began < 10
+    used = {}
+    for (p, k, s), v in flow.items():
+        assert v > 0 and s in p
+        used[p, k] = used.get((p, k), 0) + v
+    assert all(v <= patterns[p] for (p, _), v in used.items())
+    assert all(k == 1 or used.get((p, k - 1)) == patterns[p] for p, k in used)  # lower uses fill first
+    got = {s: sum(v for (_, _, t), v in flow.items() if t == s) for s in sources}
+    assert all(got[s] <= quota[s] for s in sources)
+
+
 def test_shares_repeats_and_small_sources(spark):
     docs = [(i, f"u{i}", "big", 10) for i in range(100)] + [(200 + i, f"s{i}", "small", 10) for i in range(5)] + [(300, "n", None, 10), (301, "e", "big", 0)]
     goals = [("m", "big", 1.0, 1, 0.4), ("m", "small", 1.0, 3, 0.4), ("m", "absent", 2.0, 2, 0.4), ("m", None, 1.0, 1, 0.4), ("m", "void", None, 1, 0.4)]
