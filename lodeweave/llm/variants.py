@@ -17,21 +17,25 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodeweave.operators.skew import hot_keys
 from lodeweave.session import materialize
 
-#: Length from which one more edit is looked for. A swap of neighbours is two edits here, but one in the verified distance.
-EDITS = (4, 7, 10, 15)
-#: Length from which one more edit is believed, swaps counting once.
+#: Length of a registered string from which one more edit is believed to be a typing error; a swap of neighbours is one edit.
 BELIEVED = (4, 9)
-#: A registry table of at most so many rows is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 300_000
+#: Length from which one more plain edit (a swap being two) is looked for by segments. Believed swaps beyond them are
+#: looked for under the swapped string, so every pair within the edits believed is found, whatever is set here.
+EDITS = (4, 7, 10, 15)
+#: A registry table of at most so many rows and bytes is broadcast; a larger one is shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 300_000, 64 << 20
+#: Strings under one segment from which they are dealt out to several tasks.
+HOT_SEGMENT = 20_000
 
 # What is typed before and after a name, generational suffixes, and digits typed for letters.
 TITLES = "mr mrs ms dr sir coach rookie veteran qb rb fb wr te ot og lb cb db dt dl ol hb ss fs lt rt the gm".split()
@@ -44,9 +48,9 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _TITLE, _THE = re.compile(rf"(?:{'|'.join(TITLES)})\d{{0,2}}", re.I), re.compile("the", re.I)
 
 
-def allowed(length: Column) -> Column:
+def allowed(length: Column, steps: Sequence[int] = EDITS) -> Column:
     """Edits allowed for a string of the registry of this length."""
-    return sum((length >= at).cast("int") for at in EDITS)
+    return sum(((length >= at).cast("int") for at in steps), F.lit(0))
 
 
 def fold(text: str) -> str:
@@ -132,7 +136,8 @@ def _read(df: DataFrame, text: str, kind: str) -> DataFrame:
             kept = batch.take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([*kept.columns, *[pa.array([r[j] for r in found], pa.string()) for j in range(4)]], schema=schema)
 
-    return df.mapInArrow(run, shape)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, text, kind).mapInArrow(run, shape)
 
 
 def segments(text: Column, length: Column, k: Column) -> Column:
@@ -146,62 +151,112 @@ def segments(text: Column, length: Column, k: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), k), cut)
 
 
-def probes(text: str) -> list[tuple[int, int, str]]:
+def _pieces(length: int, k: int) -> list[tuple[int, int]]:
+    """Start and length of the k + 1 segments of a string."""
+    base, rest = divmod(length, k + 1)
+    return [(i * base + max(0, i - (k + 1 - rest)), base + (i >= k + 1 - rest)) for i in range(k + 1)]
+
+
+def probes(text: str, edits: Sequence[int] = EDITS, believed: Sequence[int] = BELIEVED) -> list[tuple[int, int, str]]:
     """(length, i, s): all substrings of a typed string that may be segment i of a registry string of some length within its edits.
 
     The i segments before leave room for at most i edits, the k - i behind for
-    at most k - i, so the positions are those where both hold.
+    at most k - i, so the positions are those where both hold. Where the edits
+    believed may need more than k plain ones because swaps are among them, the
+    string is also looked up with each pair of neighbours swapped: of what
+    then remains, e edits and w swaps, at most e + 2 w segments are touched,
+    and none is shifted by more than e.
     """
     length, out = len(text), set()
-    for other in range(max(1, length - len(EDITS)), length + len(EDITS) + 1):
-        k, gap = sum(other >= at for at in EDITS), length - other
-        if abs(gap) > k:
+    far = max([len(edits), len(believed)])
+    swapped = None
+    for other in range(max(1, length - far), length + far + 1):
+        k, gap, most = sum(other >= at for at in edits), length - other, sum(other >= at for at in believed)
+        pieces = _pieces(other, k)
+        if abs(gap) <= k:
+            for i, (start, size) in enumerate(pieces):
+                for p in range(max(0, start - i, start + gap - (k - i)), min(length - size, start + i, start + gap + (k - i)) + 1):
+                    out.add((other, i, text[p : p + size]))
+        # what may remain after one swap, where the whole takes more plain edits than are looked for
+        rest = [(e, w) for w in range(most) for e in range(most - w) if e + 2 * w + 2 > k and abs(gap) <= e]
+        if not rest:
             continue
-        base, rest = divmod(other, k + 1)
-        for i in range(k + 1):
-            start, size = i * base + max(0, i - (k + 1 - rest)), base + (i >= k + 1 - rest)
-            for p in range(max(0, start - i, start + gap - (k - i)), min(length - size, start + i, start + gap + (k - i)) + 1):
-                out.add((other, i, text[p : p + size]))
+        shift, touched = max(e for e, _ in rest), max(e + 2 * w for e, w in rest)
+        if swapped is None:
+            swapped = [text[:j] + text[j + 1] + text[j] + text[j + 2 :] for j in range(length - 1) if text[j] != text[j + 1]]
+        for i, (start, size) in enumerate(pieces[: touched + 1]):
+            for p in range(max(0, start - shift), min(length - size, start + shift) + 1):
+                out.update((other, i, t[p : p + size]) for t in swapped)
+        if touched > k:  # more segments may be touched than there are: nothing but the whole string is left to look up by
+            raise ValueError("edits must be at least twice the swaps believed less two")
     return list(out)
 
 
-def _probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _probed(edits: Sequence[int], believed: Sequence[int]):
     """Adds each string's probes as one array."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, 1024):
-            part = batch.slice(start, 1024)
-            found = [probes(t) for t in part.column("string").to_pylist()]
-            flat = [x for f in found for x in f]
-            n, i, s = (pa.array([x[j] for x in flat], kind) for j, kind in enumerate((pa.int32(), pa.int32(), pa.string())))
-            ends = pa.array([0, *accumulate(map(len, found))], pa.int32())
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([n, i, s], ["n", "i", "s"]))], names=["field", "string", "probes"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
+                found = [probes(t, edits, believed) for t in part.column("string").to_pylist()]
+                flat = [x for f in found for x in f]
+                n, i, s = (pa.array([x[j] for x in flat], kind) for j, kind in enumerate((pa.int32(), pa.int32(), pa.string())))
+                ends = pa.array([0, *accumulate(map(len, found))], pa.int32())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([n, i, s], ["n", "i", "s"]))], names=["field", "string", "probes"])
+
+    return run
+
+
+def held(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """df, written once, and marked for broadcast if it is counted to have at most so many rows and bytes."""
+    df = df if hasattr(df, "_lodeweave_path") else materialize(df)
+    if df.count() > rows:
+        return df
+    long = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
+    return F.broadcast(df) if long <= size else df
 
 
-def held(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df, marked for broadcast if it is counted to have at most so many rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def _mask(text: Column) -> Column:
+    """Which letters a string has, as bits: strings within k edits differ in at most 2 k of them."""
+    codes = F.transform(F.split(text, ""), lambda c: F.pmod(F.ascii(c), F.lit(63)).cast("int"))
+    return F.aggregate(codes, F.lit(0).cast("long"), lambda a, i: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)))
 
 
-def similar_strings(typed: DataFrame, known: DataFrame) -> DataFrame:
-    """field, typed, known, edits, block: all pairs of strings of a field within the edits allowed for the known one.
+def similar_strings(typed: DataFrame, known: DataFrame, edits: Sequence[int] = EDITS, believed: Sequence[int] = BELIEVED) -> DataFrame:
+    """field, typed, known, edits, block: all pairs of strings of a field within the edits believed for the known one, swaps counting once.
 
     Both sides have field and string; null and empty strings match nothing.
-    Repeated strings are looked up once.
+    Repeated strings are looked up once. Every such pair comes out, whatever
+    its edits and swaps are.
     """
     index = known.where("string <> ''").select("field", "string").distinct().withColumn("n", F.length("string"))
-    index = index.withColumn("__s", F.explode(segments(F.col("string"), F.col("n"), allowed(F.col("n"))))).select("field", "n", F.col("__s.i").alias("i"), F.col("__s.s").alias("s"), F.col("string").alias("known"))
-    asked = typed.where("string <> ''").select("field", "string").distinct()
+    index = index.withColumn("__s", F.explode(segments(F.col("string"), F.col("n"), allowed(F.col("n"), edits)))).select("field", "n", F.col("__s.i").alias("i"), F.col("__s.s").alias("s"), F.col("string").alias("known"), _mask(F.col("string")).alias("__kb"))
     # the strings are few bytes but much work: as many tasks as a shuffle has
     tasks = int(typed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    asked = asked.repartition(tasks, "string").mapInArrow(_probed, "field string, string string, probes array<struct<n:int,i:int,s:string>>")
-    asked = asked.withColumn("__p", F.explode("probes")).select("field", F.col("__p.n").alias("n"), F.col("__p.i").alias("i"), F.col("__p.s").alias("s"), F.col("string").alias("typed"))
-    pairs = asked.join(held(index), ["field", "n", "i", "s"]).select("field", "typed", "known").distinct()
-    # the third argument bounds the band; -1 says that the distance is above it
-    length, banded = F.length("known"), F.levenshtein("typed", "known", len(EDITS))
-    for k in reversed(range(len(EDITS))):
-        banded = F.when(length < EDITS[k], F.levenshtein("typed", "known", k)).otherwise(banded)
-    near = pairs.withColumn("__d", banded).where("__d >= 0").drop("__d")
-    return near.mapInArrow(_swaps, "field string, typed string, known string, edits int, block boolean").where(F.col("edits") <= sum((F.length("known") >= at).cast("int") for at in BELIEVED))
+    asked = typed.where("string <> ''").select("field", "string").repartition(tasks, "field", "string").distinct()
+    asked = asked.mapInArrow(_probed(edits, believed), "field string, string string, probes array<struct<n:int,i:int,s:string>>").withColumn("__tb", _mask(F.col("string")))
+    asked = asked.withColumn("__p", F.explode("probes")).select("field", F.col("__p.n").alias("n"), F.col("__p.i").alias("i"), F.col("__p.s").alias("s"), F.col("string").alias("typed"), "__tb")
+    on = ["field", "n", "i", "s"]
+    index = materialize(index)
+    spread = hot_keys(index, on, HOT_SEGMENT)
+    if spread:  # a segment of very many strings is dealt out, and its probes go to every part
+        n = F.coalesce("__parts", F.lit(1))
+        index = index.join(spread[0], on, "left").withColumn("__part", F.pmod(F.xxhash64("known"), n).cast("int")).drop("__parts")
+        asked = asked.join(spread[0], on, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), n - 1))).drop("__parts")
+        on = [*on, "__part"]
+    else:
+        index = held(index)
+    most = allowed(F.col("n"), believed)
+    likely = F.bit_count(F.col("__kb").bitwiseXOR(F.col("__tb"))) <= 2 * most
+    met = asked.join(index, on).where(likely).select("field", "typed", "known")
+    pairs = met.repartition(tasks, "field", "typed", "known").distinct()
+    # plain edits: none and one are as they are, of more some may be swaps; the third argument bounds the band, -1 says beyond
+    banded, top = F.lit(-1), len(believed)
+    for b in range(top + 1):
+        banded = F.when(allowed(F.length("known"), believed) == b, F.levenshtein("typed", "known", 2 * b)).otherwise(banded)
+    near = pairs.withColumn("plain", banded).where("plain >= 0")
+    return near.mapInArrow(_swaps, "field string, typed string, known string, edits int, block boolean").where(F.col("edits") <= allowed(F.length("known"), believed))
 
 
 def distance(a: str, b: str) -> int:
@@ -219,15 +274,20 @@ def distance(a: str, b: str) -> int:
 
 
 def _swaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the distance, and whether two letters side by side or one apart are simply others, as they are in another name rather than in a typing error."""
+    """Puts the distance with swaps in place of the plain one, and adds whether two letters side by side or one apart are simply others, as they are in another name rather than in a typing error.
+
+    Only pairs of two plain edits or more can have swaps.
+    """
     for batch in batches:
-        far, block = [], []
-        for a, b in zip(batch.column("typed").to_pylist(), batch.column("known").to_pylist()):
-            d = 0 if a == b else distance(a, b)
-            wrong = [i for i in range(len(a)) if a[i] != b[i]] if d == 2 and len(a) == len(b) else []
-            far.append(d)
-            block.append(len(wrong) == 2 and wrong[1] <= wrong[0] + 2)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(far, pa.int32()), pa.array(block, pa.bool_())], names=["field", "typed", "known", "edits", "block"])
+        far = batch.column("plain").to_pylist()
+        block = [False] * len(far)
+        some = [i for i, d in enumerate(far) if d > 1]
+        part = batch.take(pa.array(some, pa.int64()))
+        for i, a, b in zip(some, part.column("typed").to_pylist(), part.column("known").to_pylist()):
+            far[i] = distance(a, b)
+            wrong = [j for j in range(len(a)) if a[j] != b[j]] if far[i] == 2 and len(a) == len(b) else []
+            block[i] = len(wrong) == 2 and wrong[1] <= wrong[0] + 2
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("field", "typed", "known")], pa.array(far, pa.int32()), pa.array(block, pa.bool_())], names=["field", "typed", "known", "edits", "block"])
 
 
 def registry_forms(entities: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -257,6 +317,8 @@ def registry_forms(entities: DataFrame, aliases: DataFrame) -> DataFrame:
 def evidence_teams(mentions: DataFrame, forms: DataFrame) -> DataFrame:
     """mention_id, teams: the teams that the evidence names beside the mention, by the longest name found there."""
     known = forms.where("entity_type = 'team'").select("entity_id", F.concat("given", "family").alias("t"), F.length(F.concat("given", "family")).alias("n")).where("n > 2").distinct()
+    # a run of words longer than the longest name is none
+    longest = known.agg(F.max("n")).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,13 +328,13 @@ def evidence_teams(mentions: DataFrame, forms: DataFrame) -> DataFrame:
                 tokens = [t for t in re.split(r"[^\w|']+", rest) if t]
                 grams = set()
                 for i in range(len(tokens)):
-                    for j in range(i + 1, min(i + 5, len(tokens) + 1)):
-                        if "|" in tokens[j - 1]:
+                    gram, named = "", False
+                    for token in tokens[i:]:
+                        gram, named = gram + letters(token), named or token[:1].isupper()
+                        if "|" in token or len(gram) > longest:
                             break
-                        if any(t[:1].isupper() for t in tokens[i:j]):
-                            gram = letters("".join(tokens[i:j]))
-                            if len(gram) > 3 or tokens[i].isupper():
-                                grams.add(gram)
+                        if named and (len(gram) > 3 or tokens[i].isupper()):
+                            grams.add(gram)
                 what.extend(grams)
                 who.extend([mention] * len(grams))
             yield pa.RecordBatch.from_arrays([pa.array(who, pa.string()), pa.array(what, pa.string())], names=["mention_id", "t"])

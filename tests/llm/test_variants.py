@@ -3,7 +3,8 @@ import random
 from hypothesis import given
 from hypothesis import strategies as st
 
-from lodeweave.llm.variants import BELIEVED, distance, link_mentions, readings, similar_strings
+from lodeweave.llm import variants
+from lodeweave.llm.variants import distance, evidence_teams, link_mentions, readings, registry_forms, similar_strings
 
 MENTIONS = "mention_id string, text string, evidence string, entity_type string, person_role_hint string, canonical_name string, teams string"
 ENTITIES = "entity_id string, canonical_name string, entity_type string, aliases array<string>, roles array<string>, teams array<string>"
@@ -25,22 +26,39 @@ def test_distance(a, b):
     assert distance(a, b) == _plain(a, b)
 
 
-def test_segment_join_finds_every_pair_within_the_edits(spark):
+def _mistyped(rng, w, n):
+    """w after n edits, each a swap of neighbours, another letter, one more or one less."""
+    t = list(w)
+    for _ in range(n):
+        i = rng.randrange(len(t) + 1)
+        kind = rng.randrange(4)
+        if kind == 0 and i + 1 < len(t):
+            t[i], t[i + 1] = t[i + 1], t[i]
+        elif kind == 1:
+            t.insert(i, rng.choice("abcd"))
+        elif i < len(t):
+            t[i : i + 1] = rng.choice("abcd") if kind == 2 else ""
+    return "".join(t)
+
+
+def test_segment_join_finds_every_pair_within_the_edits(spark, monkeypatch):
     rng = random.Random(4)
-    known = ["".join(rng.choice("abcd") for _ in range(rng.randrange(1, 20))) for _ in range(60)]
-    typed = []
-    for w in known:
-        for _ in range(6):
-            t = list(w)
-            for _ in range(rng.randrange(0, 4)):
-                i = rng.randrange(len(t) + 1)
-                t[i : i + rng.randrange(2)] = rng.choice(["", "a", "d"])
-            typed.append("".join(t))
-    got = {(r.typed, r.known, r.edits) for r in similar_strings(spark.createDataFrame([("f", t) for t in [*typed, None, ""]], "field string, string string"), spark.createDataFrame([("f", k) for k in known + known], "field string, string string")).collect()}
-    want = {(t, k, d) for t in set(typed) if t for k in set(known) if (d := distance(t, k)) <= sum(len(k) >= at for at in BELIEVED)}
-    # two swaps need four plain edits, which only longer names are allowed
-    missed = {x for x in want - got if x[2] < 2}
-    assert got <= want and not missed and len(want - got) <= 0.02 * len(want)
+    known = ["".join(rng.choice("abcd") for _ in range(rng.randrange(1, 20))) for _ in range(80)]
+    typed = [_mistyped(rng, w, rng.randrange(0, 4)) for w in known for _ in range(8)]
+    # swaps of short and of middling strings, which plain edits alone don't reach
+    typed += [w[:i] + w[i + 1] + w[i] + w[i + 2 :] for w in known for i in range(len(w) - 1)]
+    sides = spark.createDataFrame([("f", t) for t in [*typed, None, ""]], "field string, string string"), spark.createDataFrame([("f", k) for k in known + known], "field string, string string")
+    for believed, edits, hot in ((variants.BELIEVED, variants.EDITS, 10**6), ((3, 6, 12), (3, 5, 7, 9, 11), 10**6), (variants.BELIEVED, variants.EDITS, 3)):
+        monkeypatch.setattr(variants, "HOT_SEGMENT", hot)
+        got = {(r.typed, r.known, r.edits) for r in similar_strings(*sides, edits=edits, believed=believed).collect()}
+        assert got == {(t, k, d) for t in set(typed) if t for k in set(known) if (d := distance(t, k)) <= sum(len(k) >= at for at in believed)}
+
+
+def test_evidence_names_teams_of_any_length(spark):
+    rows = [("t1", "Saint Mary of the Lower Northern Lakes Owls", "team", [], [], [])]
+    forms = registry_forms(spark.createDataFrame(rows, ENTITIES), spark.createDataFrame([], ALIASES))
+    said = spark.createDataFrame([("m", "X", "X joined the Saint Mary of the Lower Northern Lakes Owls today"), ("n", "X", None)], "mention_id string, text string, evidence string")
+    assert [(r.mention_id, r.teams) for r in evidence_teams(said, forms).collect()] == [("m", ["t1"])]
 
 
 def test_fields_are_kept_apart(spark):
