@@ -1,12 +1,14 @@
 """Matching records of two sources without common keys, by Gaussian mixtures fitted without labels.
 
-Candidate pairs get a vector of similarities. Two Gaussians, of matched and of
-unmatched pairs, are fitted by expectation-maximisation; each covariance is
-regularised by the squared distance of the two means, so that similarities
-that hardly vary among matches don't get a vanishing variance, and the matched
-kind is kept narrow, so that it can't take over a sort of unmatched pairs. In the later
-rounds the expectations obey transitivity: if a record matches two of the
-other source, these two must match one another, and so for the other side.
+Candidate pairs get a vector of similarities. Matched pairs are one Gaussian;
+the unmatched differ in one thing or another (another line, another person,
+another day) and are a mixture of Gaussians, one for each. All are fitted
+together by expectation-maximisation; the covariances are regularised by the
+greatest squared distance between the means of matched and unmatched, so that
+similarities that hardly vary among matches don't get a vanishing variance.
+The expectations obey transitivity: if a record matches two of the other
+source, these two must match one another, and so for the other side. Fitting
+and constraining go on in turn until the mixture settles.
 """
 
 from __future__ import annotations
@@ -21,55 +23,85 @@ from pyspark.sql import functions as F
 
 from lodeweave.llm.propositions import read_first, read_rows, read_second
 from lodeweave.llm.variants import held, registry_forms, similar_strings
-from lodeweave.session import materialize
+from lodeweave.session import discard, materialize
 
-#: Share of the squared distance of the means that is added to both kinds' variances.
-KAPPA = 0.04
-#: The matched kind's own variance counts up to this. Matches are alike in everything, while the unmatched are of several
-#: sorts (another line, another person, another day), one of which a free Gaussian would take for the matches.
-MATCHED_SPREAD = 0.1**2
-ROUNDS, BOUND_ROUNDS = 50, 3
-#: Pairs below this posterior take no part in transitivity.
-LIVE = 0.05
-#: Different similarity vectors that the driver fits on; similarities are rounded, so their number has a bound whatever the input. More is an error.
-MAX_VECTORS = 1_000_000
+#: Share of the squared distance of the means that is added to the variances.
+KAPPA = 0.02
+#: Changes of the means below which the mixture, and the mixture under transitivity, has settled; and the most rounds of each.
+SETTLED, ROUNDS, BOUND_SETTLED, BOUND_ROUNDS = 1e-5, 200, 1e-3, 12
+#: Pairs below this posterior take no part in transitivity: they can lower no other by more.
+LIVE = 0.01
+#: For fitting, pairs are counted in cells of similarity of this width, each standing for the mean of its pairs. There are
+#: at most (1 / CELL + 1) to the power of the similarities' number, whatever the input.
+CELL = 0.05
 
 
 @dataclass
 class Mixture:
-    """Weights, means and covariances of the two kinds: 0 unmatched, 1 matched."""
+    """Weights, means and covariances: the matched first, then the sorts of unmatched."""
 
     weight: np.ndarray
     mean: np.ndarray
     cov: np.ndarray
 
+    def shares(self, x: np.ndarray) -> np.ndarray:
+        """Each component's probability for pairs of these similarities."""
+        logs = []
+        for w, m, c in zip(self.weight, self.mean, self.cov):
+            gap = x - m
+            logs.append(np.log(max(w, 1e-12)) - 0.5 * np.linalg.slogdet(c)[1] - 0.5 * np.einsum("ni,ij,nj->n", gap, np.linalg.inv(c), gap))
+        logs = np.stack(logs, axis=1)
+        out = np.exp(logs - logs.max(axis=1, keepdims=True))
+        return out / out.sum(axis=1, keepdims=True)
+
     def posterior(self, x: np.ndarray) -> np.ndarray:
         """The probability that pairs of these similarities are matched."""
-        logs = []
-        for c in (0, 1):
-            gap = x - self.mean[c]
-            logs.append(np.log(max(self.weight[c], 1e-12)) - 0.5 * np.linalg.slogdet(self.cov[c])[1] - 0.5 * np.einsum("ni,ij,nj->n", gap, np.linalg.inv(self.cov[c]), gap))
-        return 1.0 / (1.0 + np.exp(np.clip(logs[0] - logs[1], -50, 50)))
-
-
-def maximise(x: np.ndarray, matched: np.ndarray, count: np.ndarray) -> Mixture:
-    """The mixture for vectors of which ``matched`` of ``count`` pairs are expected to match."""
-    masses = (count - matched, matched)
-    total = np.array([max(w.sum(), 1e-6) for w in masses])
-    mean = np.array([w @ x / t for w, t in zip(masses, total)])
-    cov = np.array([(x - m).T @ ((x - m) * w[:, None]) / t for w, m, t in zip(masses, mean, total)])
-    shrink = np.sqrt(np.minimum(1.0, MATCHED_SPREAD / np.maximum(cov[1].diagonal(), 1e-12)))
-    cov[1] *= np.outer(shrink, shrink)
-    cov += np.diag(KAPPA * (mean[1] - mean[0]) ** 2 + 1e-3)
+        return self.shares(x)[:, 0]
+
+
+def maximise(x: np.ndarray, mass: np.ndarray) -> Mixture:
+    """The mixture for vectors of which ``mass`` pairs are expected to be of each component."""
+    total = np.maximum(mass.sum(axis=0), 1e-6)
+    mean = (mass.T @ x) / total[:, None]
+    cov = np.array([(x - m).T @ ((x - m) * w[:, None]) / t for w, m, t in zip(mass.T, mean, total)])
+    # the same for all, so that no component is narrower than the others in what it doesn't vary in, and distant pairs fall to the nearest
+    far = ((mean[0] - mean[1:]) ** 2).max(axis=0) if len(mean) > 1 else np.zeros(x.shape[1])
+    cov += np.diag(KAPPA * far + 1e-3)
     return Mixture(total / total.sum(), mean, cov)
 
 
+def begin(x: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Masses to start from: every pair counts to the nearest of the ideal match, which is alike in everything, and the pairs that fail in one similarity.
+
+    Failing is to be no more alike than unlike, at most one half; such a sort
+    starts where the pairs that fail are in that similarity.
+    """
+    d = x.shape[1]
+    anchors = [np.ones(d)]
+    for k in range(d):
+        low = x[:, k] <= 0.5
+        anchors.append(np.where(np.arange(d) == k, (count[low] @ x[low, k]) / count[low].sum(), 1.0))
+    near = ((x[:, None, :] - np.array(anchors)[None]) ** 2).sum(axis=2).argmin(axis=1)
+    return np.eye(len(anchors))[near] * count[:, None]
+
+
+def imagined(x: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
+    """The vectors and their counts with one more pair for each similarity, which fails in it alone and isn't matched.
+
+    So a sort of unmatched that was never seen isn't taken to be impossible.
+    The first of ``counts`` is the number of pairs, others are of matched ones.
+    """
+    d = x.shape[1]
+    return [np.concatenate([x, 1 - np.eye(d)]), *(np.concatenate([c, np.full(d, float(not i))]) for i, c in enumerate(counts))]
+
+
 def fit(x: np.ndarray, count: np.ndarray, rounds: int = ROUNDS) -> Mixture:
-    """The mixture without transitivity; pairs that are alike in every similarity start as matched."""
-    model = maximise(x, count * np.where(x.min(axis=1) >= 0.85, 0.95, 0.05), count)
+    """The mixture without transitivity."""
+    x, count = imagined(x, count)
+    model = maximise(x, begin(x, count))
     for _ in range(rounds):
-        after = maximise(x, count * model.posterior(x), count)
-        settled = np.abs(after.mean - model.mean).max() < 1e-5
+        after = maximise(x, model.shares(x) * count[:, None])
+        settled = np.abs((after.mean - model.mean) * (after.weight > 1e-4)[:, None]).max() < SETTLED
         model = after
         if settled:
             break
@@ -77,10 +109,9 @@ def fit(x: np.ndarray, count: np.ndarray, rounds: int = ROUNDS) -> Mixture:
 
 
 def counted(pairs: DataFrame, names: Sequence[str], *sums: Column) -> list[np.ndarray]:
-    """The different similarity vectors of pairs, and per vector their number and further sums."""
-    found = pairs.groupBy(*names).agg(F.count(F.lit(1)).cast("double").alias("__n"), *sums).limit(MAX_VECTORS + 1).toArrow()
-    if found.num_rows > MAX_VECTORS:
-        raise ValueError("too many different similarity vectors")
+    """The cells of similarity that pairs are in, each by the mean of its pairs, and per cell their number and further sums."""
+    cell = [F.round(F.col(n) / CELL).alias(f"__c{i}") for i, n in enumerate(names)]
+    found = pairs.groupBy(*cell).agg(*[F.avg(n).alias(n) for n in names], F.count(F.lit(1)).cast("double").alias("__n"), *sums).drop(*[f"__c{i}" for i in range(len(names))]).toArrow()
     columns = [np.asarray(c, float) for c in found.columns]
     return [np.stack(columns[: len(names)], axis=1) if found.num_rows else np.zeros((0, len(names))), *columns[len(names) :]]
 
@@ -95,51 +126,79 @@ def scorer(model: Mixture) -> Callable[..., Column]:
     return score
 
 
-def transitive(scored: DataFrame, within: DataFrame) -> DataFrame:
-    """Lowers ``p`` where two matches of one record contradict each other.
+def meeting(scored: DataFrame) -> DataFrame:
+    """l, r, q, a, b: matches of which one end has a likelier other match (of posterior q), whose ends a < b must then match one another.
 
-    scored: l, r and further columns, p. within: a, b, p of the pairs a < b
-    of either side; a pair not listed can't match. Of two matches of a record
-    of joint probability above that of their other ends matching, the less
-    likely one is lowered to the bound.
+    scored: l, r, p. Both directions are taken at once, from the record shared.
     """
-    # both directions at once: matches seen from the record that they share
     live = scored.where(F.col("p") >= LIVE).select("p", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("l").alias("o"), F.col("r").alias("x")), F.struct(F.lit(1).alias("side"), F.col("r").alias("o"), F.col("l").alias("x")))).alias("e")).select("p", "e.*")
     twice = live.alias("s").join(live.alias("t"), (F.col("s.o") == F.col("t.o")) & (F.col("s.side") == F.col("t.side"))).where("s.x <> t.x and (s.p < t.p or (s.p = t.p and s.x > t.x))")
-    ends = twice.select(F.when(F.col("s.side") == 0, F.col("s.o")).otherwise(F.col("s.x")).alias("l"), F.when(F.col("s.side") == 0, F.col("s.x")).otherwise(F.col("s.o")).alias("r"), F.col("t.p").alias("q"), F.least("s.x", "t.x").alias("a"), F.greatest("s.x", "t.x").alias("b"))
+    return twice.select(F.when(F.col("s.side") == 0, F.col("s.o")).otherwise(F.col("s.x")).alias("l"), F.when(F.col("s.side") == 0, F.col("s.x")).otherwise(F.col("s.o")).alias("r"), F.col("t.p").alias("q"), F.least("s.x", "t.x").alias("a"), F.greatest("s.x", "t.x").alias("b"))
+
+
+def transitive(scored: DataFrame, met: DataFrame, within: DataFrame) -> DataFrame:
+    """Lowers ``p`` where two matches of one record contradict each other.
+
+    ``met`` is as meeting() gives it for scored; ``within``: a, b, p of the
+    pairs of one side that stand there. Of two matches of a record of joint
+    probability above that of their other ends matching, the less likely one
+    is lowered to the bound.
+    """
     known = within.select("a", "b", F.col("p").alias("w"))
     most = F.min(F.least(F.lit(1.0), F.coalesce("w", F.lit(0.0)) / F.col("q")))
-    least = ends.join(known, ["a", "b"], "left").groupBy("l", "r").agg(most.alias("most"))
+    least = met.join(known, ["a", "b"], "left").groupBy("l", "r").agg(most.alias("most"))
     return scored.join(least, ["l", "r"], "left").withColumn("p", F.least("p", F.coalesce("most", F.lit(1.0)))).drop("most")
 
 
-def match_records(pairs: DataFrame, names: Sequence[str]) -> DataFrame:
-    """l, r, p of the pairs between the sources. ``pairs``: a, b, across, and the similarities; pairs within a source have a < b."""
-    x, count = counted(pairs.where("across"), names)
+def match_records(pairs: DataFrame, names: Sequence[str], alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """l, r, p of the candidate pairs between the sources.
+
+    ``pairs``: l, r and the similarities ``names``. ``alike`` gives the
+    similarities of any pairs a, b of records of one side: they are asked for
+    only where two matches of one record meet, so that no pairs within a side
+    need be sought.
+    """
+    pairs = materialize(pairs)
+    x, count = counted(pairs, names)
     if not len(x):
-        return pairs.where("across").select(F.col("a").alias("l"), F.col("b").alias("r"), F.lit(0.0).alias("p"))
-    model = fit(x, count)
-    for step in range(BOUND_ROUNDS):
-        scored = materialize(pairs.withColumn("p", scorer(model)(*names)))
-        bound = materialize(transitive(scored.where("across").select(F.col("a").alias("l"), F.col("b").alias("r"), *names, "p"), scored.where("not across")))
-        if step + 1 < BOUND_ROUNDS:
-            x, count, matched = counted(bound, names, F.sum("p").alias("__m"))
-            model = maximise(x, matched, count)
+        return pairs.select("l", "r", F.lit(0.0).alias("p"))
+    model, bound = fit(x, count), None
+    for _ in range(BOUND_ROUNDS):
+        score = scorer(model)
+        scored = materialize(pairs.withColumn("p", score(*names)))
+        met = materialize(meeting(scored))
+        within = alike(met.select("a", "b").distinct()).select("a", "b", score(*names).alias("p"))
+        last, bound = bound, materialize(transitive(scored, met, within))
+        for old in (last, scored, met):
+            if old is not None:
+                discard(old)
+        x, count, matched = imagined(*counted(bound, names, F.sum("p").alias("__m")))
+        rest = model.shares(x)[:, 1:] + 1e-12
+        mass = np.concatenate([matched[:, None], (count - matched)[:, None] * rest / rest.sum(axis=1, keepdims=True)], axis=1)
+        after = maximise(x, mass)
+        settled = np.abs((after.mean - model.mean) * (after.weight > 1e-4)[:, None]).max() < BOUND_SETTLED
+        model = after
+        if settled:
+            break
     return bound.select("l", "r", "p")
 
 
 # ---------------------------------------------------------------- propositions
 
+#: Letters that two names must begin with alike to be compared where they aren't spelled alike.
+BEGINNING = 3
 SIMILARITIES = ["s_about", "s_kind", "s_line", "s_who"]
 
 
 def _alike(a: Column, b: Column) -> Column:
-    """1 for equal strings, less for each edit."""
-    return F.when(a == b, 1.0).otherwise(F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1)))
+    """1 for equal strings, less for each edit; letters that only changed places are one."""
+    plain = F.levenshtein(a, b)
+    places = (plain == 2) & (F.length(a) == F.length(b)) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
+    return F.when(a == b, 1.0).otherwise(F.lit(1.0) - F.when(places, 1).otherwise(plain) / F.greatest(F.length(a), F.length(b), F.lit(1)))
 
 
 def similarities(pairs: DataFrame) -> DataFrame:
-    """pairs with SIMILARITIES, from the a_ and b_ columns of both statements; rounded, so that equal vectors can be counted."""
+    """pairs with SIMILARITIES, from the a_ and b_ columns of both statements: how far they are about the same game, kind, line and person."""
     given = (
         F.when(F.col("a_given") == F.col("b_given"), 1.0)
         .when((F.col("a_given") == "") | (F.col("b_given") == ""), 0.6)
@@ -148,13 +207,10 @@ def similarities(pairs: DataFrame) -> DataFrame:
     )
     family = _alike(F.col("a_family"), F.col("b_family"))
     who = F.when(F.col("a_person") & F.col("b_person"), F.least(family, F.lit(0.5) * family + F.lit(0.5) * given)).when(F.col("a_family") == F.col("b_family"), 1.0).otherwise(0.0)
-    line = F.when(F.col("a_line").isNull() & F.col("b_line").isNull(), 1.0).when(F.col("a_line").isNull() | F.col("b_line").isNull(), 0.3).otherwise(F.lit(0.6) * F.exp(-F.abs(F.col("a_line") - F.col("b_line")) / 2) + F.when(F.col("a_line") == F.col("b_line"), 0.4).otherwise(0.0))
-    return (
-        pairs.withColumn("s_about", F.round(F.col("a_fit") * F.col("b_fit"), 2))
-        .withColumn("s_kind", F.when(F.col("a_kind") == F.col("b_kind"), 1.0).otherwise(0.0))
-        .withColumn("s_line", F.round(line, 2))
-        .withColumn("s_who", F.round(who, 2))
-    )
+    line = F.when(F.col("a_line").isNull() & F.col("b_line").isNull(), 1.0).when(F.col("a_line").isNull() | F.col("b_line").isNull(), 0.3).otherwise(F.exp(-F.abs(F.col("a_line") - F.col("b_line"))))
+    words = lambda c: F.split(c, "[ _]")
+    kind = F.size(F.array_intersect(words("a_kind"), words("b_kind"))) / F.size(F.array_union(words("a_kind"), words("b_kind")))
+    return pairs.withColumns({"s_about": F.col("a_fit") * F.col("b_fit"), "s_kind": kind, "s_line": line, "s_who": who})
 
 
 ASPECTS = ("game", "kind", "line", "given", "family", "person", "fit")
@@ -165,16 +221,41 @@ def _statements(rows: DataFrame) -> DataFrame:
     return rows.select("side", *ASPECTS).distinct().withColumn("key", F.xxhash64("side", *ASPECTS))
 
 
-def _candidates(statements: DataFrame, nicknames: DataFrame) -> DataFrame:
-    """Pairs of statements about one game that agree in two of kind, line and whom they are about, with their similarities."""
-    a, b = (statements.select(*[F.col(c).alias(f"{p}_{c}") for c in ("side", *ASPECTS, "key")]) for p in ("a", "b"))
-    once = (F.col("a_side") < F.col("b_side")) | (F.col("a_side") == F.col("b_side")) & (F.col("a_key") < F.col("b_key"))
-    # each statement stands under three keys, one for each two aspects that a partner may agree in
-    under = lambda p: F.explode(F.array(*[F.xxhash64(F.lit(i), f"{p}_game", *[F.coalesce(F.col(f"{p}_{c}").cast("string"), F.lit("none")) for c in agree]) for i, agree in enumerate((("kind", "line"), ("kind", "family"), ("line", "family")))]))
-    pairs = a.withColumn("__u", under("a")).join(b.withColumn("__u", under("b")), "__u").where(once & (F.col("a_game") == F.col("b_game"))).drop("__u").distinct()
+def _sides(statements: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return tuple(statements.select(*[F.col(c).alias(f"{p}_{c}") for c in ("side", *ASPECTS, "key")]) for p in ("a", "b"))
+
+
+def _named(pairs: DataFrame, nicknames: DataFrame) -> DataFrame:
+    """pairs with short_for: whether the second given name is a short form of the first."""
     marked = nicknames.select(F.col("g").alias("__g"), F.col("short").alias("__s"), F.lit(True).alias("short_for"))
-    named = pairs.join(marked, (F.col("a_given") == F.col("__g")) & (F.col("b_given") == F.col("__s")), "left").na.fill(False, ["short_for"])
-    return similarities(named).select(F.col("a_key").alias("a"), F.col("b_key").alias("b"), (F.col("a_side") != F.col("b_side")).alias("across"), *SIMILARITIES)
+    return pairs.join(marked, (F.col("a_given") == F.col("__g")) & (F.col("b_given") == F.col("__s")), "left").na.fill(False, ["short_for"])
+
+
+def _candidates(statements: DataFrame, nicknames: DataFrame) -> DataFrame:
+    """l, r and the similarities of the statements of both sides about one game that agree in more.
+
+    Either they are about names spelled alike (within the edits that are
+    believed to be typing errors) and of one kind or of one line; or they are
+    of one kind and line, and the names begin alike. So a block holds the
+    statements about one name, or one beginning of names, in one game, however
+    many others there are; the second sort of pairs also shows the mixture
+    what different persons look like.
+    """
+    a, b = _sides(statements)
+    a, b = a.where("a_side = 0"), b.where("b_side = 1")
+    field = F.lit("family").alias("field")
+    spelled = similar_strings(a.where("a_person").select(field, F.col("a_family").alias("string")), b.where("b_person").select(field, F.col("b_family").alias("string")))
+    near = held(materialize(spelled.select(F.col("typed").alias("a_family"), F.col("known").alias("__whom"))))
+    a = a.where("a_person").join(near, "a_family").unionByName(a.where("not a_person").withColumn("__whom", F.col("a_family")))
+    b = b.withColumn("__whom", F.col("b_family"))
+    line = lambda p: F.coalesce(F.col(f"{p}_line").cast("string"), F.lit("none"))
+    start = lambda p: F.when(F.col(f"{p}_person"), F.substring(f"{p}_family", 1, BEGINNING)).otherwise("")
+    keys = lambda p: (("__whom", f"{p}_kind"), ("__whom", line(p)), (f"{p}_kind", line(p), start(p)))
+    under = lambda p: F.explode(F.array(*[F.xxhash64(F.lit(i), f"{p}_person", f"{p}_game", *agree) for i, agree in enumerate(keys(p))]))
+    met = a.withColumn("__u", under("a")).drop("__whom").join(b.withColumn("__u", under("b")).select("__u", "b_key", F.col("b_game").alias("__g")), "__u").where(F.col("a_game") == F.col("__g"))
+    pairs = met.select("a_key", "b_key").distinct()
+    full = pairs.join(a.drop("__whom").distinct(), "a_key").join(b.drop("__whom"), "b_key")
+    return similarities(_named(full, nicknames)).select(F.col("a_key").alias("l"), F.col("b_key").alias("r"), *SIMILARITIES)
 
 
 def _dated_by_event(read: DataFrame, first: DataFrame) -> DataFrame:
@@ -243,7 +324,16 @@ def match_propositions(first: DataFrame, events: DataFrame, second: DataFrame, e
     r_rows = materialize(r_game.unionByName(period(right)).where("kind is not null").withColumn("given", F.coalesce("given", F.lit(""))).withColumn("family", F.coalesce("family", F.lit(""))))
 
     both = l_rows.withColumn("side", F.lit(0)).unionByName(r_rows.withColumn("side", F.lit(1)))
-    scored = match_records(materialize(_candidates(_statements(both), nicknames)), SIMILARITIES)
+    statements = materialize(_statements(both))
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        a, b = _sides(statements)
+        met = pairs.join(a, pairs["a"] == F.col("a_key")).join(b, pairs["b"] == F.col("b_key"))
+        # statements about different games can't state the same
+        found = similarities(_named(met, nicknames)).withColumn("s_about", F.when(F.col("a_game") == F.col("b_game"), F.col("s_about")).otherwise(0.0))
+        return found.select("a", "b", *SIMILARITIES)
+
+    scored = match_records(_candidates(statements, nicknames), SIMILARITIES, alike)
     keyed = both.select("side", "id", F.xxhash64("side", *ASPECTS).alias("key"))
     left_ids, right_ids = keyed.where("side = 0").select(F.col("id").alias("market_id"), F.col("key").alias("l")), keyed.where("side = 1").select(F.col("id").alias("ticker"), F.col("key").alias("r"))
     rows = scored.where("p > 0").join(left_ids, "l").join(right_ids, "r")

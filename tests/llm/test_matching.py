@@ -2,8 +2,9 @@ import datetime as dt
 from decimal import Decimal
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from lodeweave.llm.matching import fit, match_propositions, transitive
+from lodeweave.llm.matching import counted, fit, match_propositions, meeting, transitive
 from lodeweave.llm.propositions import line_of, person_name, read_second, statistic
 
 FIRST = "market_id string, event_id string, question string, group_item_title string, sports_market_type string, line decimal(18,8), closed_time timestamp_ntz, first_observed_at timestamp_ntz, ticker string, confidence string"
@@ -40,10 +41,18 @@ def test_the_unmatched_may_be_of_several_sorts():
 def test_transitivity_lowers_the_weaker_of_contradicting_matches(spark):
     pairs = lambda rows, a, b: spark.createDataFrame(rows, f"{a} long, {b} long, p double")
     scored = pairs([(1, 10, 0.9), (1, 11, 0.8), (2, 20, 0.9), (2, 21, 0.8), (3, 30, 0.99)], "l", "r")
-    got = {(r.l, r.r): round(r.p, 3) for r in transitive(scored, pairs([(20, 21, 0.9)], "a", "b")).collect()}
+    met = meeting(scored)
+    assert {(r.a, r.b) for r in met.collect()} == {(10, 11), (20, 21)}
+    got = {(r.l, r.r): round(r.p, 3) for r in transitive(scored, met, pairs([(20, 21, 0.9)], "a", "b")).collect()}
     assert got == {(1, 10): 0.9, (1, 11): 0.0, (2, 20): 0.9, (2, 21): 0.8, (3, 30): 0.99}
 
 
+def test_cells_stand_for_the_mean_of_their_pairs(spark):
+    df = spark.createDataFrame([(0.51, 1.0, 0.2), (0.49, 1.0, 0.4), (0.9, 0.0, 1.0)], "u double, v double, p double")
+    x, n, p = counted(df, ["u", "v"], F.sum("p").alias("m"))
+    assert sorted(zip(x.round(6).tolist(), n, p.round(6))) == [([0.5, 1.0], 2.0, 0.6), ([0.9, 0.0], 1.0, 1.0)]
+
+
 def test_reading_of_lines_names_and_statistics():
     assert line_of("Total points over 47.5?") == 47.5 and line_of("54+ points") == 53.5 and line_of("by 4 or more?") == 3.5 and line_of("Wi1l he on 9/23?") is None and line_of(None) is None
     assert statistic("Will X Y record more than 4.5 recpetions?") == "receptions" and statistic("X passing yards O/U 3.5") == "passing yards" and statistic("") is None
