@@ -13,19 +13,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Phrases that name no entity.
+# Phrases that name no entity, and the dot within a pair of initials at the end of a word.
 PLACEHOLDER = r"^(Player|Coach|Person|Team) [A-Z]{1,2}$"
-GENERIC = ["other", "another", "field", "any other", "none of the above", "no one"]
+GENERIC = ["another coach", "another player", "another team", "no listed player", "other", "someone else"]
+INITIALS_DOT = r"(?<=\b[A-Za-z])\.(?=[A-Za-z]\.?(?:\s|$))"
 
 
 def name_form(text: str | None) -> str | None:
-    """The comparable form of a name: compatibility form, caseless, plain apostrophes, no dots within initials, no other signs, single blanks."""
+    """The comparable form of a name: compatibility form, caseless, plain apostrophes, no dot within a pair of initials, no other signs, single blanks."""
     if text is None:
         return None
-    s = unicodedata.normalize("NFKC", text).casefold()
-    s = re.sub("[‘’ʼ`´]", "'", s)
-    s = re.sub(r"\b(\w)\.(?=\s?\w\b|\s|$|\w\.)", r"\1", s)
-    return " ".join(re.sub(r"[^\w'\- ]+", " ", s).split())
+    s = unicodedata.normalize("NFKC", text).casefold().translate({0x2019: "'", 0x60: "'"})
+    return " ".join(re.sub(r"[^\w'\- ]+", " ", re.sub(INITIALS_DOT, "", s)).split())
 
 
 @F.pandas_udf(T.StringType())
@@ -102,9 +101,17 @@ def alike(names: list[str], aliases: list[str], least: float) -> Iterator[tuple[
                 yield names[i], alias, score
 
 
+def without_suffixes(name: Column) -> Column:
+    """A comparable name without the generational suffixes at its end."""
+    return F.regexp_replace(name, r"(^| )((jr|sr|ii|iii|iv|v)( |$))+$", "")
+
+
 def names_agree(a: Column, b: Column, likeness: Column) -> Column:
-    """Whether two comparable names may be one person's: equal but for suffixes, or of one last part, or of one first part and alike."""
-    parts = lambda c: F.filter(F.split(c, " "), lambda t: ~t.isin("jr", "sr", "ii", "iii", "iv", "v") & (t != ""))
+    """Whether two comparable names may be one person's: equal but for suffixes, or of one last part, or of one first part and alike.
+
+    ``likeness`` is that of the names without_suffixes().
+    """
+    parts = lambda c: F.filter(F.split(without_suffixes(c), " "), lambda t: t != "")
     x, y = parts(a), parts(b)
     some = (F.size(x) > 0) & (F.size(y) > 0)
     return some & ((x == y) | (F.try_element_at(x, F.lit(-1)) == F.try_element_at(y, F.lit(-1))) | ((F.get(x, F.lit(0)) == F.get(y, F.lit(0))) & (likeness >= 0.85)))
@@ -116,14 +123,10 @@ def has_word(text: Column, words: list[str]) -> Column:
 
 
 def placeholder(text: Column) -> Column:
-    """Why a text names nobody: placeholder, boolean, generic or blank; null if it may name someone."""
-    plain = F.lower(F.trim(text))
-    return (
-        F.when(text.isNull() | (plain == ""), "blank")
-        .when(F.trim(text).rlike(PLACEHOLDER), "placeholder")
-        .when(plain.isin("yes", "no") & (F.trim(text) != "NO"), "boolean")
-        .when(plain.isin(*GENERIC), "generic")
-    )
+    """Why a text names nobody: placeholder or generic; null if it may name someone, or is blank."""
+    bare = F.trim(text)
+    yes_or_no = (F.lower(bare) == "yes") | ((F.lower(bare) == "no") & (bare != "NO"))
+    return F.when(bare == "", F.lit(None)).when(bare.rlike(PLACEHOLDER), "placeholder").when(yes_or_no | normalize_name(bare).isin(*GENERIC), "generic")
 
 
 def excerpt(text: Column, name: Column, around: int = 900) -> Column:

@@ -21,6 +21,12 @@ def levels(ladder: Column, best_high: bool, below_one: bool = False) -> Column:
     return F.transform(F.array_sort(keyed), lambda x: F.struct(x["price"].alias("price"), x["size"].alias("size")))
 
 
+def readable(ladder: Column) -> Column:
+    """Whether every level of a side can be read: a price in (0, 1] and a size above 0; null and empty sides are readable."""
+    bad = lambda x: F.coalesce(~((x["price"].try_cast("decimal(18,8)") > 0) & (x["price"].try_cast("decimal(18,8)") <= 1) & (x["size"].try_cast("decimal(18,8)") > 0)), F.lit(True))
+    return ~F.coalesce(F.exists(ladder, bad), F.lit(False))
+
+
 def worth(level: Column) -> Column:
     return (level["price"] * level["size"]).cast("decimal(28,8)")
 
@@ -46,8 +52,12 @@ def complement(side: Column) -> Column:
     return F.transform(side, lambda x: F.struct((F.lit(1) - x["price"].try_cast("decimal(18,8)")).cast("decimal(18,8)").cast("string").alias("price"), x["size"].alias("size")))
 
 
-def normalize_books(books: DataFrame, bids: str, asks: str, depth: Column) -> DataFrame:
-    """books with best_bid, best_ask, midpoint, spread, each side's totals, bounded ladders and whether they were cut; null where a side is empty."""
+def normalize_books(books: DataFrame, bids: str, asks: str, depth: Column, strict: bool = False) -> DataFrame:
+    """books with best_bid, best_ask, midpoint, spread, each side's totals, bounded ladders and whether they were cut; null where a side is empty.
+
+    Levels that can't be read are left out; with ``strict`` a book that has one is left out as a whole.
+    """
+    books = books.where(readable(F.col(bids)) & readable(F.col(asks))) if strict else books
     side = books.withColumn("__b", levels(F.col(bids), True)).withColumn("__a", levels(F.col(asks), False))
     b, a = F.get(F.col("__b"), F.lit(0))["price"], F.get(F.col("__a"), F.lit(0))["price"]
     out = side.withColumns({

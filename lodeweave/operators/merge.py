@@ -8,6 +8,7 @@ streams the functions are called in foreachBatch.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,6 +93,20 @@ def advance(cursors: DataFrame, polled: DataFrame, keys: Sequence[str], at: str)
     return newest_wins(_ranked(cursors, polled), keys, at, ties=[F.col("__new")]).select(*cursors.columns)
 
 
+def last_poll(cursors: DataFrame, polled: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
+    """Checkpoints as polled, also where they move back; of several polls of a key the last by ``at``. See advance() for those that may not."""
+    newest = newest_wins(polled, keys, at)
+    return cursors.join(newest.select(*keys), list(keys), "left_anti").unionByName(newest.select(*cursors.columns))
+
+
+def checkpoint(cursors: DataFrame, **key: object) -> dict | None:
+    """The one checkpoint of a key; None where there is none."""
+    found = reduce(lambda df, item: df.where(F.col(item[0]).eqNullSafe(F.lit(item[1]))), key.items(), cursors).limit(2).collect()
+    if len(found) > 1:
+        raise ValueError(f"several checkpoints of {key}")
+    return found[0].asDict() if found else None
+
+
 def keyed_update(stored: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored rows with the non-null values of the updates' other columns; keys not stored are ignored."""
     changed = [c for c in updates.columns if c not in keys]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,13 @@ def query(sql: str | None = None):
     return add
 
 
+def norm_sql(column: str) -> str:
+    """normalize_name() in SQL, for names without compatibility forms: the dot of a pair of initials, other signs, blanks."""
+    plain = f"translate(nfc_normalize(lower({column})), '’`', chr(39) || chr(39))"
+    joined = rf"regexp_replace({plain}, '\b([a-z])\.([a-z]\.?(\s|$))', '\1\2', 'g')"
+    return rf"trim(regexp_replace(regexp_replace({joined}, '[^\p{{L}}\p{{N}}_''\- ]+', ' ', 'g'), ' +', ' ', 'g'))"
+
+
 # ---------------------------------------------------------------- the event study
 
 
@@ -83,15 +91,24 @@ def asof_horizons_forward(s: SparkSession, d: str) -> DataFrame:
     return A.asof_horizons(_posts(s, d, "kalshi"), mids, ["market_id"], "at_us", "seen_us", E.HORIZONS, E.TOLERANCE, "midpoint").drop("at_us")
 
 
-_REACTIONS_SQL = _BASE_SQL + f""", based as (select news_id, market_id, at_us,
-  (select arg_max(midpoint, seen_us) from mids m where m.market_id = p.market_id and m.seen_us between p.at_us - 600000000 and p.at_us) as baseline, {_HORIZONS_SQL} from posts p),
+_REACTIONS_SQL = f"""with {_POSTS_SQL.format('kalshi')},
+mids as (select ticker as market_id, epoch_us(observed_at) as seen_us, midpoint, spread, bid_total_notional as bid_depth, ask_total_notional as ask_depth from kalshi_current_order_books where midpoint is not null
+  qualify row_number() over (partition by ticker, observed_at order by midpoint desc, spread desc nulls last, bid_total_notional desc nulls last, ask_total_notional desc nulls last) = 1),
+first as (select p.news_id, p.market_id, p.at_us, m.seen_us as baseline_us, m.midpoint as baseline, spread, bid_depth, ask_depth
+  from posts p left join mids m on m.market_id = p.market_id and m.seen_us between p.at_us - 600000000 and p.at_us
+  qualify row_number() over (partition by p.news_id, p.market_id, p.at_us order by m.seen_us desc nulls last) = 1),
+based as (select p.*, {_HORIZONS_SQL} from first p),
 deltas as (select *, {", ".join(f"{n} - baseline as delta_{n}" for n in E.HORIZONS)} from based)"""
 
 
-@query(_REACTIONS_SQL + f" select news_id, market_id, baseline, {', '.join(f'delta_{n}::decimal(19,8) as delta_{n}' for n in E.HORIZONS)} from deltas")
+def _reactions(s: SparkSession, d: str) -> DataFrame:
+    books = table(s, d, "kalshi_current_order_books").where("midpoint is not null").select(F.col("ticker").alias("market_id"), micros("observed_at").alias("seen_us"), "midpoint", "spread", F.col("bid_total_notional").alias("bid_depth"), F.col("ask_total_notional").alias("ask_depth"))
+    return E.reactions(_posts(s, d, "kalshi"), books, ["market_id"], "at_us", "seen_us", "midpoint", ["spread", "bid_depth", "ask_depth"])
+
+
+@query(_REACTIONS_SQL + f" select news_id, market_id, baseline, spread, bid_depth, ask_depth, {', '.join(f'delta_{n}::decimal(19,8) as delta_{n}' for n in E.HORIZONS)} from deltas")
 def reaction_deltas(s: SparkSession, d: str) -> DataFrame:
-    moved = E.reactions(_posts(s, d, "kalshi"), _mids(s, d), ["market_id"], "at_us", "seen_us", "midpoint")
-    return moved.select("news_id", "market_id", "baseline", *[F.col(f"delta_{n}").cast("decimal(19,8)").alias(f"delta_{n}") for n in E.HORIZONS])
+    return _reactions(s, d).select("news_id", "market_id", "baseline", "spread", "bid_depth", "ask_depth", *[F.col(f"delta_{n}").cast("decimal(19,8)").alias(f"delta_{n}") for n in E.HORIZONS])
 
 
 @query(f"""with {_POSTS_SQL.format('kalshi')}, seen as (select distinct ticker as market_id, epoch_us(observed_at) as t from kalshi_current_order_books),
@@ -114,11 +131,13 @@ def trade_interval_stats(s: SparkSession, d: str) -> DataFrame:
     return found.where("trade_count is not null").select("news_id", "market_id", "trade_count", F.col("trade_worth").cast("decimal(38,8)").alias("trade_worth"))
 
 
-@query(f"""with {_POSTS_SQL.format('polymarket')}, {_TRADES_SQL}, floor as (select min(traded_us) as floor_us from trades)
-select p.news_id, p.market_id,
+_STATS_SQL = """select p.news_id, p.market_id, p.at_us,
   case when floor_us <= at_us + 7200000000 then count(t.traded_us) end as trade_count,
   case when floor_us <= at_us + 7200000000 then coalesce(sum(worth), 0)::decimal(38,8) end as trade_worth
-from posts p cross join floor left join trades t on t.market_id = p.market_id and traded_us between at_us and at_us + 7200000000 group by p.news_id, p.market_id, at_us, floor_us""")
+from {posts} p cross join floor left join trades t on t.market_id = p.market_id and traded_us between at_us and at_us + 7200000000 group by p.news_id, p.market_id, at_us, floor_us"""
+
+
+@query(f"with {_POSTS_SQL.format('polymarket')}, {_TRADES_SQL}, floor as (select min(traded_us) as floor_us from trades), stats as ({_STATS_SQL.format(posts='posts')}) select news_id, market_id, trade_count, trade_worth from stats")
 def trade_stats_zero_vs_unknown(s: SparkSession, d: str) -> DataFrame:
     found = E.trade_stats(_posts(s, d, "polymarket"), _trades(s, d), ["market_id"], "at_us", "traded_us", "worth")
     return found.select("news_id", "market_id", "trade_count", F.col("trade_worth").cast("decimal(38,8)").alias("trade_worth"))
@@ -137,42 +156,72 @@ def pending_links_anti(s: SparkSession, d: str) -> DataFrame:
     return every.where(F.col("at_us") <= cutoff).join(done, ["news_id", "market_id"], "left_anti")
 
 
-def _labelled(s: SparkSession, d: str) -> DataFrame:
-    moved = E.reactions(_posts(s, d, "kalshi"), _mids(s, d), ["market_id"], "at_us", "seen_us", "midpoint")
-    none = [F.lit(None).cast("decimal(18,8)"), [], F.lit(None).cast("long"), F.lit(None).cast("decimal(18,8)")]
-    labels = {f"{n}_{int(c * 100)}c": E.bucket(E.Rule(threshold=c), F.col(f"delta_{n}"), *none) for n in E.HORIZONS for c in (0.01, 0.02, 0.05)}
-    return moved.select("news_id", "market_id", *[e.alias(n) for n, e in labels.items()])
+# No market has both books and trades in the tables, so a post's trades are those of all its linked markets that have them.
+_LABEL_INPUTS_SQL = _REACTIONS_SQL + f""", others as (select distinct news_id, market_id, epoch_us(published_at) as at_us from news_market_links where platform = 'polymarket'), {_TRADES_SQL}, floor as (select min(traded_us) as floor_us from trades),
+stats as ({_STATS_SQL.format(posts='others')}), traded as (select news_id, sum(trade_count)::bigint as trade_count, sum(trade_worth)::decimal(38,8) as trade_worth from stats group by 1),
+inputs as (select d.*, trade_count, trade_worth from deltas d left join traded using (news_id))"""
+
 
+def _label_inputs(s: SparkSession, d: str) -> DataFrame:
+    stats = E.trade_stats(_posts(s, d, "polymarket"), _trades(s, d), ["market_id"], "at_us", "traded_us", "worth")
+    traded = stats.groupBy("news_id").agg(F.sum("trade_count").alias("trade_count"), F.sum("trade_worth").cast("decimal(38,8)").alias("trade_worth"))
+    return _reactions(s, d).join(traded, "news_id", "left")
 
-_LABELS_SQL = {f"{n}_{int(c * 100)}c": f"case when delta_{n} is null then null when abs(delta_{n}) < {c} then 'flat' when delta_{n} > 0 then 'up' else 'down' end" for n in E.HORIZONS for c in (0.01, 0.02, 0.05)}
 
+# The rule in SQL, written out from its description: book gate, unknown change, threshold (with the gate at least half the spread), trades.
+_GATE = "when spread is null or spread > 0.05 or bid_depth is null or ask_depth is null or least(bid_depth, ask_depth) < 100 then null "
+_TRADE = "when trade_count is null then null when trade_count < 2 or coalesce(trade_worth, 0) < 50 then 'flat' "
 
-@query(_REACTIONS_SQL + " select news_id, market_id, " + ", ".join(f"{e} as {n}" for n, e in _LABELS_SQL.items()) + " from deltas")
+
+def _label_sql(h: str, cents: int, gate: bool = True, trades: bool = True) -> str:
+    threshold = f"greatest(0.0{cents}, spread / 2)" if gate else f"0.0{cents}"
+    return f"case {_GATE if gate else ''}when delta_{h} is null then null when abs(delta_{h}) < {threshold} then 'flat' {_TRADE if trades else ''}when delta_{h} > 0 then 'up' else 'down' end"
+
+
+@query(_LABEL_INPUTS_SQL + f""" select news_id, market_id, {_label_sql('plus_30m', 2)} as target_plus_30m_2c_tc, {_label_sql('plus_30m', 2, trades=False)} as target_plus_30m_2c_raw,
+{_label_sql('plus_30m', 2, gate=False)} as target_plus_30m_2c_tc_nobook, {_label_sql('plus_2h', 1, False, False)} as target_plus_2h_1c_raw_nobook from inputs""")
 def label_buckets(s: SparkSession, d: str) -> DataFrame:
-    return _labelled(s, d)
+    """The default rule, without trades, without the book, and without either."""
+    rules = [E.Rule(), E.Rule(trade_confirmed=False), E.Rule(book_quality=False), E.Rule("plus_2h", Decimal("1"), trade_confirmed=False, book_quality=False)]
+    return E.labelled(_label_inputs(s, d), rules).select("news_id", "market_id", *[r.column for r in rules])
+
 
+_SWEEP = [(h, c, gate, trades) for h in E.HORIZONS for c in (1, 2, 5) for gate, trades in ((True, True), (False, False))]
+_SWEEP_NAMES = [E.Rule(h, Decimal(c), book_quality=gate, trade_confirmed=trades).column for h, c, gate, trades in _SWEEP]
 
-@query(_REACTIONS_SQL + ", labels as (select " + ", ".join(f"{e} as {n}" for n, e in _LABELS_SQL.items()) + " from deltas) " + " union all ".join(
-    f"select '{n}' as label, count(*) as total, count({n}) as labelled, count(*) filter ({n} = 'up') as up, count(*) filter ({n} = 'down') as down, count(*) filter ({n} = 'flat') as flat from labels" for n in _LABELS_SQL))
+
+@query(_LABEL_INPUTS_SQL + ", labels as (select " + ", ".join(f"{_label_sql(*x)} as {n}" for x, n in zip(_SWEEP, _SWEEP_NAMES)) + " from inputs) " + " union all ".join(
+    f"select '{n}' as label, count(*) as total, count({n}) as labelled, count(*) filter ({n} = 'up') as up, count(*) filter ({n} = 'down') as down, count(*) filter ({n} = 'flat') as flat from labels" for n in _SWEEP_NAMES))
 def label_sweep_distribution(s: SparkSession, d: str) -> DataFrame:
-    return E.shares(_labelled(s, d), list(_LABELS_SQL))
+    """Every horizon and threshold, with both gates and without, in one pass."""
+    rules = [E.Rule(h, Decimal(c), book_quality=gate, trade_confirmed=trades) for h, c, gate, trades in _SWEEP]
+    return E.shares(E.labelled(_label_inputs(s, d), rules), _SWEEP_NAMES)
+
+
+@query(f"with {_POSTS_SQL.format('kalshi')} select news_id, market_id, at_us from posts where at_us >= epoch_us(timestamp '2016-09-10') and at_us < epoch_us(timestamp '2016-09-20')")
+def publish_range(s: SparkSession, d: str) -> DataFrame:
+    at = lambda day: F.unix_micros(F.lit(day).cast("timestamp"))
+    return E.published(_posts(s, d, "kalshi"), "at_us", at("2016-09-10"), at("2016-09-20"))
 
 
 # ---------------------------------------------------------------- linking and export
 
 
 @query("""with news as (select distinct m.news_id, m.entity_id, n.published_at from extracted_mentions m join (select distinct news_id, published_at from news_events) n using (news_id) where entity_id is not null),
-sides as (select distinct l.market_id, m.entity_id, k.closed_time from news_market_links l join extracted_mentions m using (news_id) join polymarket_markets k on k.market_id = l.market_id where l.platform = 'polymarket' and m.entity_id is not null)
-select n.news_id, s.market_id, array_to_string(list_sort(list_distinct(list(n.entity_id))), ',') as shared, count(distinct n.entity_id) as n_shared
-from news n join sides s using (entity_id) where s.closed_time is null or s.closed_time >= n.published_at group by n.news_id, s.market_id""")
+closes as (select 'polymarket' as platform, market_id, closed_time as closes from polymarket_markets union all select 'kalshi', ticker, close_time from kalshi_markets),
+sides as (select distinct l.platform, l.market_id, m.entity_id, k.closes from news_market_links l join extracted_mentions m using (news_id) join closes k on k.market_id = l.market_id and k.platform = l.platform where m.entity_id is not null)
+select n.news_id, s.platform, s.market_id, array_to_string(list_sort(list_distinct(list(n.entity_id))), ',') as shared, count(distinct n.entity_id) as n_shared
+from news n join sides s using (entity_id) where s.closes is null or s.closes >= n.published_at group by n.news_id, s.platform, s.market_id""")
 def entity_overlap_links(s: SparkSession, d: str) -> DataFrame:
+    """Posts and the markets of both platforms that share an entity and weren't final before the post."""
     named = table(s, d, "extracted_mentions").where("entity_id is not null").select("news_id", "entity_id").distinct()
     news = named.join(table(s, d, "news_events").select("news_id", "published_at").distinct(), "news_id")
-    linked = table(s, d, "news_market_links").where("platform = 'polymarket'").select("news_id", "market_id").distinct()
-    closed = table(s, d, "polymarket_markets").select("market_id", "closed_time")
-    sides = linked.join(named, "news_id").select("market_id", "entity_id").distinct().join(closed, "market_id")
-    found = L.overlap_links(news, sides, "entity_id", ["news_id"], ["market_id"], valid=F.col("closed_time") >= F.col("published_at"))
-    return found.select("news_id", "market_id", F.array_join("shared", ",").alias("shared"), F.col("n_shared").cast("long").alias("n_shared"))
+    linked = table(s, d, "news_market_links").select("news_id", "platform", "market_id").distinct()
+    first = table(s, d, "polymarket_markets").select(F.lit("polymarket").alias("platform"), "market_id", F.col("closed_time").alias("closes"))
+    second = table(s, d, "kalshi_markets").select(F.lit("kalshi").alias("platform"), F.col("ticker").alias("market_id"), F.col("close_time").alias("closes"))
+    sides = linked.join(named, "news_id").select("platform", "market_id", "entity_id").distinct().join(first.unionByName(second), ["platform", "market_id"])
+    found = L.overlap_links(news, sides, "entity_id", ["news_id"], ["platform", "market_id"], valid=F.col("closes") >= F.col("published_at"))
+    return found.select("news_id", "platform", "market_id", F.array_join("shared", ",").alias("shared"), F.col("n_shared").cast("long").alias("n_shared"))
 
 
 @query("""with per as (select news_id, entity_id, list_sort(list_distinct(list(mention_role) filter (mention_role is not null))) as r, list_sort(list_distinct(list(person_role_hint) filter (person_role_hint is not null))) as h
@@ -184,15 +233,21 @@ def link_role_map(s: SparkSession, d: str) -> DataFrame:
     return maps.select("news_id", F.array_join(shown, ";").alias("roles"))
 
 
-@query("""select l.news_id, l.market_id, l.linker_version, n.language, m.question, e.title, m.closed, m.closed_time < l.published_at as closed_before
-from news_market_links l join (select news_id, max(language) as language from news_events group by 1) n using (news_id)
-join polymarket_markets m on m.market_id = l.market_id join polymarket_events e on e.event_id = m.event_id where l.platform = 'polymarket'""")
+@query("""with news as (select news_id, max(language) as language from news_events group by 1)
+select l.news_id, l.market_id, l.platform, l.linker_version, language, m.question, e.title, m.closed, m.closed_time < l.published_at as closed_before
+from news_market_links l join news using (news_id) join polymarket_markets m on m.market_id = l.market_id join polymarket_events e on e.event_id = m.event_id where l.platform = 'polymarket'
+union all select l.news_id, l.market_id, l.platform, l.linker_version, language, k.title, k.event_ticker, lower(trim(k.status)) in ('closed', 'determined', 'finalized'), k.close_time < l.published_at
+from news_market_links l join news using (news_id) join kalshi_markets k on k.ticker = l.market_id where l.platform = 'kalshi'""")
 def export_star_join(s: SparkSession, d: str) -> DataFrame:
-    links = table(s, d, "news_market_links").where("platform = 'polymarket'").select("news_id", "market_id", "linker_version", "published_at")
+    """Every link with its post and its market, of both platforms."""
+    links = table(s, d, "news_market_links").select("news_id", "market_id", "platform", "linker_version", "published_at")
     news = table(s, d, "news_events").groupBy("news_id").agg(F.max("language").alias("language"))
-    markets = table(s, d, "polymarket_markets").select("market_id", F.col("event_id").alias("e"), "question", "closed", "closed_time")
-    titles = table(s, d, "polymarket_events").select(F.col("event_id").alias("e"), "title")
-    return links.join(news, "news_id").join(markets, "market_id").join(titles, "e").select("news_id", "market_id", "linker_version", "language", "question", "title", "closed", (F.col("closed_time") < F.col("published_at")).alias("closed_before"))
+    titles = table(s, d, "polymarket_events").select("event_id", "title")
+    first = table(s, d, "polymarket_markets").join(titles, "event_id").select(F.lit("polymarket").alias("platform"), "market_id", "question", "title", "closed", F.col("closed_time").alias("closes"))
+    over = F.lower(F.trim("status")).isin("closed", "determined", "finalized")
+    second = table(s, d, "kalshi_markets").select(F.lit("kalshi").alias("platform"), F.col("ticker").alias("market_id"), F.col("title").alias("question"), F.col("event_ticker").alias("title"), over.alias("closed"), F.col("close_time").alias("closes"))
+    rows = links.join(news, "news_id").join(first.unionByName(second), ["platform", "market_id"])
+    return rows.select("news_id", "market_id", "platform", "linker_version", "language", "question", "title", "closed", (F.col("closes") < F.col("published_at")).alias("closed_before"))
 
 
 @query("""select 'polymarket' as platform, market_id, question as title, epoch_us(closed_time) as closes_us from polymarket_markets
@@ -252,28 +307,37 @@ def book_best_mid_spread(s: SparkSession, d: str) -> DataFrame:
     return B.normalize_books(_books(s, d), "bids", "asks", F.lit(100)).select("ticker", "seen_us", "raw_ingest_run_id", "best_bid", "best_ask", "midpoint", "spread")
 
 
-_PREFIX_SQL = ", ranked as (select *, coalesce(sum(worth) over (partition by b order by price desc, i rows between unbounded preceding and 1 preceding), 0) as before from gb)"
+_PREFIX_SQL = """, ranked as (select 'bid' as side, *, coalesce(sum(worth) over (partition by b order by price desc, i rows between unbounded preceding and 1 preceding), 0) as before from gb
+  union all select 'ask', *, coalesce(sum(worth) over (partition by b order by price, i rows between unbounded preceding and 1 preceding), 0) from ga)"""
 
 
-@query(_BOOK_SQL + _PREFIX_SQL + """ select ticker, epoch_us(observed_at) as seen_us, raw_ingest_run_id, count(r.b) as n_levels, coalesce(sum(worth), 0)::decimal(28,8) as captured
-from books left join ranked r on r.b = books.b and before < 100 group by books.b, ticker, observed_at, raw_ingest_run_id""")
+@query(_BOOK_SQL + _PREFIX_SQL + """ select ticker, epoch_us(observed_at) as seen_us, raw_ingest_run_id, count(r.b) filter (side = 'bid') as n_bids, coalesce(sum(worth) filter (side = 'bid'), 0)::decimal(28,8) as bid_captured,
+  count(r.b) filter (side = 'ask') as n_asks, coalesce(sum(worth) filter (side = 'ask'), 0)::decimal(28,8) as ask_captured from books left join ranked r on r.b = books.b and before < 100 group by books.b, ticker, observed_at, raw_ingest_run_id""")
 def book_bounded_depth(s: SparkSession, d: str) -> DataFrame:
     books = B.normalize_books(_books(s, d), "bids", "asks", F.lit(100))
-    return books.select("ticker", "seen_us", "raw_ingest_run_id", F.size("bid_levels").cast("long").alias("n_levels"), B.total(F.col("bid_levels")).alias("captured"))
+    side = lambda name, short: [F.size(f"{short}_levels").cast("long").alias(f"n_{short}s"), B.total(F.col(f"{short}_levels")).alias(f"{short}_captured")]
+    return books.select("ticker", "seen_us", "raw_ingest_run_id", *side("bids", "bid"), *side("asks", "ask"))
 
 
-@query(_BOOK_SQL + _PREFIX_SQL + """ select ticker, epoch_us(observed_at) as seen_us, raw_ingest_run_id, depth::decimal(18,2) as depth, count(r.b) as n_levels, coalesce(sum(worth), 0)::decimal(28,8) as captured
-from books cross join (values (10.0), (100.0), (1000.0)) v(depth) left join ranked r on r.b = books.b and before < depth group by books.b, ticker, observed_at, raw_ingest_run_id, depth""")
+@query(_BOOK_SQL + _PREFIX_SQL + """ select ticker, epoch_us(observed_at) as seen_us, raw_ingest_run_id, v.side, depth::decimal(18,2) as depth, count(r.b) as n_levels, coalesce(sum(worth), 0)::decimal(28,8) as captured
+from books cross join (values ('bid', 10.0), ('bid', 100.0), ('bid', 1000.0), ('ask', 10.0), ('ask', 100.0), ('ask', 1000.0)) v(side, depth) left join ranked r on r.b = books.b and r.side = v.side and before < depth group by books.b, ticker, observed_at, raw_ingest_run_id, v.side, depth""")
 def book_depth_sweep(s: SparkSession, d: str) -> DataFrame:
-    swept = B.depth_sweep(_books(s, d), B.levels(F.col("bids"), True), [10.0, 100.0, 1000.0])
-    return swept.select("ticker", "seen_us", "raw_ingest_run_id", "depth", F.col("n_levels").cast("long").alias("n_levels"), "captured")
+    """Both sides of every book at three depths, each ladder read once."""
+    books = _books(s, d).withColumn("x", F.explode(F.array(F.struct(F.lit("bid").alias("side"), B.levels(F.col("bids"), True).alias("ladder")), F.struct(F.lit("ask").alias("side"), B.levels(F.col("asks"), False).alias("ladder")))))
+    swept = B.depth_sweep(books.select("ticker", "seen_us", "raw_ingest_run_id", "x.side", "x.ladder"), F.col("ladder"), [10.0, 100.0, 1000.0])
+    return swept.select("ticker", "seen_us", "raw_ingest_run_id", "side", "depth", F.col("n_levels").cast("long").alias("n_levels"), "captured")
 
 
-@query(_BOOK_SQL + """ select ticker, epoch_us(observed_at) as seen_us, raw_ingest_run_id, (1 - hi)::decimal(18,8) as other_ask
-from books left join (select b, max(price) as hi from gb where price < 1 group by 1) using (b)""")
+@query(_BOOK_SQL + """, other as (select b, 'ask' as side, (1 - price)::decimal(18,8) as price, size from gb where price < 1 union all select b, 'bid', (1 - price)::decimal(18,8), size from ga where price < 1)
+select ticker, epoch_us(observed_at) as seen_us, raw_ingest_run_id, count(o.b) filter (side = 'bid') as n_bids, max(price) filter (side = 'bid') as best_bid, coalesce(sum(price::decimal(19,8) * size::decimal(19,8)) filter (side = 'bid'), 0)::decimal(28,8) as bid_total,
+  count(o.b) filter (side = 'ask') as n_asks, min(price) filter (side = 'ask') as best_ask, coalesce(sum(price::decimal(19,8) * size::decimal(19,8)) filter (side = 'ask'), 0)::decimal(28,8) as ask_total
+from books left join other o on o.b = books.b group by books.b, ticker, observed_at, raw_ingest_run_id""")
 def complement_book(s: SparkSession, d: str) -> DataFrame:
-    other = B.levels(B.complement(F.col("bids")), False, below_one=True)
-    return _books(s, d).select("ticker", "seen_us", "raw_ingest_run_id", F.get(other, F.lit(0))["price"].alias("other_ask"))
+    """The other outcome's whole book: its bids are the asks at one minus their price, and the reverse."""
+    bids, asks = B.levels(B.complement(F.col("asks")), True, below_one=True), B.levels(B.complement(F.col("bids")), False, below_one=True)
+    other = _books(s, d).select("ticker", "seen_us", "raw_ingest_run_id", bids.alias("b"), asks.alias("a"))
+    side = lambda c, name: [F.size(c).cast("long").alias(f"n_{name}s"), F.get(c, F.lit(0))["price"].alias(f"best_{name}"), B.total(F.col(c)).alias(f"{name}_total")]
+    return other.select("ticker", "seen_us", "raw_ingest_run_id", *side("b", "bid"), *side("a", "ask"))
 
 
 # ---------------------------------------------------------------- filters
@@ -386,10 +450,15 @@ def keyed_update(s: SparkSession, d: str) -> DataFrame:
     return M.keyed_update(stored, incoming, ["ticker"])
 
 
-@query("select ingest_run_id, max(epoch_us(ingested_at)) as at_us from raw_ingest_objects group by 1")
+@query(f"""with stored as (select provider, object_type, arg_max(ingest_run_id, (ingested_at, ingest_run_id)) as run, max(epoch_us(ingested_at)) as at_us from raw_ingest_objects where ingested_at < timestamp '{_SPLIT}' group by all),
+polled as (select provider, object_type, arg_min(ingest_run_id, (ingested_at, ingest_run_id)) as run, min(epoch_us(ingested_at)) as at_us from raw_ingest_objects where record_count > 20 group by all)
+select provider, object_type, case when s.at_us is null or p.at_us >= s.at_us then coalesce(p.run, s.run) else s.run end as run, greatest(s.at_us, p.at_us) as at_us from stored s full join polled p using (provider, object_type)""")
 def cursor_advance(s: SparkSession, d: str) -> DataFrame:
-    polls = table(s, d, "raw_ingest_objects").select("ingest_run_id", micros("ingested_at").alias("at_us"))
-    return M.advance(polls.where("at_us % 2 = 0").distinct(), polls.where("at_us % 2 <> 0").distinct(), ["ingest_run_id"], "at_us")
+    """Checkpoints of every stream after a poll that is older than most of them: none may move back."""
+    objects = table(s, d, "raw_ingest_objects").select("provider", "object_type", F.col("ingest_run_id").alias("run"), micros("ingested_at").alias("at_us"), "ingested_at", "record_count")
+    pick = lambda df, best: df.groupBy("provider", "object_type").agg(best("run", F.struct("at_us", "run")).alias("run"), best("at_us", F.struct("at_us", "run")).alias("at_us"))
+    stored = pick(objects.where(F.col("ingested_at") < F.lit(_SPLIT).cast("timestamp_ntz")), F.max_by)
+    return M.advance(stored, pick(objects.where("record_count > 20"), F.min_by), ["provider", "object_type"], "at_us")
 
 
 # ---------------------------------------------------------------- aggregates, sorts and the queue
@@ -464,26 +533,33 @@ def quarantined_entities(s: SparkSession, d: str) -> DataFrame:
     return G.without_conflicts(_alias_rows(s, d), "entity_id", "normalized_alias")[1]
 
 
-@query("""select teams[1] as team, entity_id, canonical_name from candidate_entities where len(teams) > 0
-qualify row_number() over (partition by teams[1] order by identity_status, -len(aliases), canonical_name, entity_id) = 1""")
+@query("""select team, entity_id, canonical_name from (select *, unnest(list_distinct(teams)) as team from candidate_entities)
+qualify row_number() over (partition by team order by identity_status, -len(aliases), canonical_name, entity_id) = 1""")
 def representative_pick(s: SparkSession, d: str) -> DataFrame:
-    people = table(s, d, "candidate_entities").where(F.size("teams") > 0).withColumn("team", F.get("teams", F.lit(0)))
+    people = table(s, d, "candidate_entities").withColumn("team", F.explode(F.array_distinct("teams")))
     return G.representatives(people, ["team"], [F.col("identity_status"), -F.size("aliases"), F.col("canonical_name"), F.col("entity_id")], ["entity_id", "canonical_name"])
 
 
-@query("""with m as (select mention_id, lower(trim(text)) as name, entity_type from extracted_mentions), r as (select a.entity_id, a.normalized_alias as name, e.entity_type from entity_aliases a join candidate_entities e using (entity_id))
-select distinct mention_id, entity_id from m join r using (name, entity_type)""")
+_NAMED_SQL = f"""with m as (select mention_id, text, entity_type, {norm_sql('text')} as name from extracted_mentions),
+r as (select distinct a.entity_id, a.alias, {norm_sql('a.alias')} as name, e.entity_type from entity_aliases a join candidate_entities e using (entity_id)
+  union select entity_id, canonical_name, {norm_sql('canonical_name')}, entity_type from candidate_entities)"""
+
+
+@query(_NAMED_SQL + " select distinct mention_id, entity_id from m join r using (name, entity_type)")
 def exact_alias_resolution(s: SparkSession, d: str) -> DataFrame:
-    return R.exact_matches(_plain_mentions(s, d), _registry(s, d))
+    return R.exact_matches(_plain_mentions(s, d), _registry(s, d).select("entity_id", "name", "entity_type"))
 
 
 def _plain_mentions(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "extracted_mentions").select("mention_id", F.lower(F.trim("text")).alias("name"), "entity_type")
+    return table(s, d, "extracted_mentions").select("mention_id", "text", X.normalize_name("text").alias("name"), "entity_type")
 
 
 def _registry(s: SparkSession, d: str) -> DataFrame:
-    kinds = table(s, d, "candidate_entities").select("entity_id", "entity_type")
-    return table(s, d, "entity_aliases").select("entity_id", F.col("normalized_alias").alias("name")).join(kinds, "entity_id")
+    """entity_id, entity_type, canonical_name, alias, name: every alias and the canonical name itself, with its comparable form."""
+    entities = table(s, d, "candidate_entities").select("entity_id", "entity_type", "canonical_name")
+    listed = table(s, d, "entity_aliases").select("entity_id", "alias").join(entities, "entity_id").select("entity_id", "entity_type", "canonical_name", "alias")
+    every = listed.unionByName(entities.withColumn("alias", F.col("canonical_name"))).distinct()
+    return every.withColumn("name", X.normalize_name("alias"))
 
 
 @query()
@@ -494,9 +570,43 @@ def fuzzy_candidates_topk(s: SparkSession, d: str) -> DataFrame:
 
 @query()
 def resolution_state_machine(s: SparkSession, d: str) -> DataFrame:
-    """No SQL, for the same reason."""
+    """No SQL, for the same reason; its deterministic part is resolved_by_alias."""
     mentions, registry = _plain_mentions(s, d), _registry(s, d)
-    return R.resolutions(mentions, R.exact_matches(mentions, registry), R.fuzzy_candidates(mentions, registry))
+    return R.resolutions(mentions, registry, R.fuzzy_candidates(mentions, registry), may_create=True)
+
+
+@query(_NAMED_SQL + """, hits as (select mention_id, count(distinct entity_id) as n, min(entity_id) as entity_id from m join r using (name, entity_type) where name <> '' group by 1),
+owned as (select entity_id, list(alias) as aliases from r group by 1)
+select mention_id, entity_id, case when list_contains(aliases, m.text) then 'exact_alias' else 'normalized_alias' end as method from hits join m using (mention_id) join owned using (entity_id)
+where n = 1 and (length(regexp_replace(name, '[^\\p{L}\\p{N}]', '', 'g')) > 3 or (m.entity_type = 'team' and upper(m.text) = m.text and lower(m.text) <> m.text and list_contains(aliases, m.text)))""")
+def resolved_by_alias(s: SparkSession, d: str) -> DataFrame:
+    """The mentions that one safe alias resolves, and how."""
+    mentions = _plain_mentions(s, d)
+    none = mentions.limit(0).select("mention_id", F.lit(0.0).alias("score"))
+    return R.resolutions(mentions, _registry(s, d), none).where("status = 'resolved'").select("mention_id", "entity_id", "method")
+
+
+@query(f"""with owners as (select {norm_sql('alias')} as name, count(distinct entity_id) as n, min(entity_id) as merged_into from entity_aliases join candidate_entities e using (entity_id) where e.identity_status = 'canonical' group by 1)
+select entity_id, merged_into from candidate_entities join owners on {norm_sql('canonical_name')} = name where identity_status = 'provisional' and n = 1 and name <> ''""")
+def provisional_reconciled(s: SparkSession, d: str) -> DataFrame:
+    entities = table(s, d, "candidate_entities").select("entity_id", "identity_status", X.normalize_name("canonical_name").alias("name"))
+    return R.reconciled(entities, table(s, d, "entity_aliases").select("entity_id", X.normalize_name("alias").alias("name")))
+
+
+@query(_NAMED_SQL + """, hits as (select mention_id, count(distinct entity_id) as n, min(entity_id) as entity_id from m join r using (name, entity_type) group by 1),
+raw as (select m.mention_id, count(distinct r.entity_id) as n, min(r.entity_id) as entity_id from m join r on r.alias = m.text and r.entity_type = m.entity_type group by 1)
+select x.mention_id, case when first is distinct from second then 'pass_disagreement' when x.confidence < 0.9 then 'low_confidence' when first is not distinct from x.entity_id then 'confirmed' else 'proposed_change' end as outcome
+from (select e.mention_id, e.entity_id, e.confidence, case when h.n = 1 then h.entity_id end as first, case when w.n = 1 then w.entity_id end as second
+  from extracted_mentions e left join hits h using (mention_id) left join raw w using (mention_id)) x""")
+def accuracy_outcomes(s: SparkSession, d: str) -> DataFrame:
+    """An audit of the present resolutions by two passes: the sole owner of the comparable name, and that of the name as typed."""
+    mentions, registry = table(s, d, "extracted_mentions"), _registry(s, d)
+    sole = lambda df, name: df.groupBy("mention_id").agg(F.when(F.count_distinct("owner") == 1, F.min("owner")).alias(name))
+    named = registry.select(F.col("entity_id").alias("owner"), "entity_type", "name", "alias").distinct()
+    first = sole(_plain_mentions(s, d).join(named, ["name", "entity_type"]), "first")
+    second = sole(mentions.select("mention_id", F.col("text").alias("alias"), "entity_type").join(named, ["alias", "entity_type"]), "second")
+    both = mentions.select("mention_id", "entity_id", "confidence").join(first, "mention_id", "left").join(second, "mention_id", "left")
+    return both.select("mention_id", R.audited(F.col("first"), F.col("second"), F.col("entity_id"), F.col("confidence")).alias("outcome"))
 
 
 @query("""with names as (select entity_id, string_agg(distinct normalized_alias, '|' order by normalized_alias) as known from entity_aliases group by 1),
@@ -538,14 +648,14 @@ def location_alias(s: SparkSession, d: str) -> DataFrame:
 
 @query("""with rows as (select distinct version_id, unnest(relationships) as r from nflverse_snapshots), named as (select version_id, r.source_key as source_key, r.subject_entity_id as s, r.object_entity_id as o from rows),
 counted as (select version_id, source_key, count(distinct e.entity_id) as n, count(distinct t.entity_id) as m from named left join candidate_entities e on e.entity_id = s left join candidate_entities t on t.entity_id = o group by all)
-select case when n = 0 then 'no subject' when n > 1 then 'several subjects' when m = 0 then 'no object' else 'matched' end as outcome, count(*) as rows from counted group by 1""")
+select version_id, source_key, case when n = 0 then 'no subject' when n > 1 then 'several subjects' when m = 0 then 'no object' else 'matched' end as outcome from counted""")
 def roster_match_outcomes(s: SparkSession, d: str) -> DataFrame:
     named = table(s, d, "nflverse_snapshots").select("version_id", F.explode("relationships").alias("r")).select("version_id", "r.source_key", F.col("r.subject_entity_id").alias("s"), F.col("r.object_entity_id").alias("o")).distinct()
     ids = table(s, d, "candidate_entities").select("entity_id")
     found = named.join(ids.select(F.col("entity_id").alias("s"), F.col("entity_id").alias("e")), "s", "left").join(ids.select(F.col("entity_id").alias("o"), F.col("entity_id").alias("t")), "o", "left")
     counted = found.groupBy("version_id", "source_key").agg(F.count_distinct("e").alias("n"), F.count_distinct("t").alias("m"))
     outcome = F.when(F.col("n") == 0, "no subject").when(F.col("n") > 1, "several subjects").when(F.col("m") == 0, "no object").otherwise("matched")
-    return counted.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.select("version_id", "source_key", outcome.alias("outcome"))
 
 
 @query("""select e.entity_id, len(list_filter(e.aliases, lambda x: list_contains(a.known, x))) as both_sides, len(list_filter(e.aliases, lambda x: not list_contains(a.known, x))) as only_own, list_sort(list_distinct(e.aliases)) = a.known as same_set
@@ -570,7 +680,9 @@ def newest_numeric_id(s: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- scalars
 
 
-@query("select event_id, sha256(string_agg(market_id || '|' || question, chr(10) order by market_id || '|' || question)) as digest from polymarket_markets group by 1")
+@query("""with h as (select event_id, sha256(concat_ws('|', market_id, question)) as x from polymarket_markets),
+summed as (select event_id, count(*) as n, sum(('0x' || x[1:15])::bigint) as a, sum(('0x' || x[16:30])::bigint) as b, sum(('0x' || x[31:45])::bigint) as c, sum(('0x' || x[46:60])::bigint) as d from h group by 1)
+select event_id, sha256(concat_ws(':', n::varchar, a::varchar, b::varchar, c::varchar, d::varchar)) as digest from summed""")
 def structural_digest(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "polymarket_markets").groupBy("event_id").agg(V.set_digest(F.concat_ws("|", "market_id", "question")).alias("digest"))
 
@@ -584,9 +696,9 @@ def trade_uid_hash(s: SparkSession, d: str) -> DataFrame:
 _NAMESPACE = "6ba7b810-9dad-11d1-80b4-00c04fd430c8"
 
 
-@query()
+@query(f"""with h as (select entity_id, sha1(unhex('{uuid.UUID(_NAMESPACE).hex}') || encode(canonical_name)) as x from candidate_entities)
+select entity_id, x[1:8] || '-' || x[9:12] || '-5' || x[14:16] || '-' || ['8', '9', 'a', 'b'][(('0x' || x[17])::int % 4) + 1] || x[18:20] || '-' || x[21:32] as uuid from h""")
 def uuid5_ids(s: SparkSession, d: str) -> DataFrame:
-    """No SQL: DuckDB has no SHA-1 of raw bytes; tested against the uuid module."""
     return table(s, d, "candidate_entities").select("entity_id", V.name_uuid(_NAMESPACE, F.col("canonical_name")).alias("uuid"))
 
 
@@ -595,39 +707,22 @@ def simple_name_text(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "candidate_entities").select("entity_id", X.simple_name(F.col("canonical_name")).alias("name"))
 
 
-@query()
+@query(f"select entity_id, alias_type, {norm_sql('alias')} as name from entity_aliases")
 def normalize_name_text(s: SparkSession, d: str) -> DataFrame:
-    """No SQL: compatibility form and caseless folding have no SQL form; tested against Python."""
     return table(s, d, "entity_aliases").select("entity_id", "alias_type", X.normalize_name("alias").alias("name"))
 
 
-_TOPICS = {"injury": ["injury", "injured", "hamstring", "questionable"], "market": ["price", "cents", "contract"], "trade": ["trade", "signed", "waived"]}
-_word = lambda words: f"coalesce(regexp_matches(text, '(?i)(^|[^\\p{{L}}\\p{{M}}\\p{{N}}_])({'|'.join(words)})($|[^\\p{{L}}\\p{{M}}\\p{{N}}_])'), false)"
-
-
-@query("select doc_id, " + ", ".join(f"{_word(w)} as {t}" for t, w in _TOPICS.items()) + " from documents")
-def keyword_topic_tags(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents").select("doc_id", *[F.coalesce(X.has_word(F.col("text"), w), F.lit(False)).alias(t) for t, w in _TOPICS.items()])
-
-
-_RULES = {"injury": 3, "trade": 2, "market": 1}
-
-
-@query("select doc_id, case " + " ".join(f"when {_word(_TOPICS[t])} then '{t}'" for t in _RULES) + " else 'other' end as topic, " + " + ".join(f"(case when {_word(_TOPICS[t])} then {w} else 0 end)" for t, w in _RULES.items()) + " as usefulness from documents")
-def usefulness_rules(s: SparkSession, d: str) -> DataFrame:
-    """A rule table over keywords: the first topic that is met, and the sum of the weights of all that are."""
-    hit = {t: F.coalesce(X.has_word(F.col("text"), _TOPICS[t]), F.lit(False)) for t in _RULES}
-    topic, score = F.lit("other"), F.lit(0)
-    for t in reversed(_RULES):
-        topic = F.when(hit[t], t).otherwise(topic)
-        score = score + F.when(hit[t], _RULES[t]).otherwise(0)
-    return table(s, d, "documents").select("doc_id", topic.alias("topic"), score.cast("int").alias("usefulness"))
-
-
-@query("""select mention_id, case when text is null or trim(text) = '' then 'blank' when regexp_matches(trim(text), '^(Player|Coach|Person|Team) [A-Z]{1,2}$') then 'placeholder'
-  when lower(trim(text)) in ('yes', 'no') and trim(text) <> 'NO' then 'boolean' when lower(trim(text)) in ('other', 'another', 'field', 'any other', 'none of the above', 'no one') then 'generic' end as reason from extracted_mentions""")
+@query(f"""with texts as (select mention_id, text from extracted_mentions union all select entity_id, canonical_name from candidate_entities union all select ticker, yes_sub_title from kalshi_markets union all select ticker, 'No' from kalshi_markets
+  union all select ticker, 'Someone  else.' from kalshi_markets union all select ticker, 'Player AB' from kalshi_markets)
+select mention_id, text, case when trim(text) = '' then null when regexp_full_match(trim(text), '(Player|Coach|Person|Team) [A-Z][A-Z]?') then 'placeholder' when lower(trim(text)) = 'yes' or (lower(trim(text)) = 'no' and trim(text) <> 'NO') then 'generic'
+  when {norm_sql('text')} in ('another coach', 'another player', 'another team', 'no listed player', 'other', 'someone else') then 'generic' end as reason from texts""")
 def placeholder_classifier(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "extracted_mentions").select("mention_id", X.placeholder(F.col("text")).alias("reason"))
+    """Over all texts that may be options, and a few that surely are."""
+    tickers = table(s, d, "kalshi_markets")
+    texts = table(s, d, "extracted_mentions").select("mention_id", "text").unionAll(table(s, d, "candidate_entities").select("entity_id", "canonical_name")).unionAll(tickers.select("ticker", "yes_sub_title"))
+    for sure in ("No", "Someone  else.", "Player AB"):
+        texts = texts.unionAll(tickers.select("ticker", F.lit(sure)))
+    return texts.select("mention_id", "text", X.placeholder(F.col("text")).alias("reason"))
 
 
 @query()
@@ -661,11 +756,15 @@ def time_parsing(s: SparkSession, d: str) -> DataFrame:
                                         micros(V.iso_time(F.concat(F.col("ts").cast("string"), F.lit("Z")))).alias("from_iso"), F.when(us.isNotNull(), read(F.lit("no time"))).alias("from_bad"))
 
 
-@query("""select market_id, case when closed and question like '%a%' then 1 when closed then 0 end as winner from polymarket_markets""")
+_PRICES = [("resolved", '["0","1"]', 1), ("resolved", '["1.0","0"]', 0), ("resolved", '["1","1"]', None), ("resolved", '["0.5","0.5"]', None), ("resolved", '["x","1"]', None), ("proposed", '["0","1"]', None), ("resolved", "[]", None), ("resolved", "no list", None)]
+
+
+@query("select market_id, v.status, v.prices, v.winner from polymarket_markets cross join (values " + ", ".join(f"('{a}', '{b}', {'null' if c is None else c}::int)" for a, b, c in _PRICES) + ") v(status, prices, winner)")
 def winning_outcome_index(s: SparkSession, d: str) -> DataFrame:
-    prices = F.when(F.col("question").like("%a%"), F.lit('["0","1"]')).otherwise(F.lit('["1.0","0"]'))
-    status = F.when(F.col("closed"), "resolved").otherwise("open")
-    return table(s, d, "polymarket_markets").select("market_id", V.sole_winner(status, V.json_list(prices)).alias("winner"))
+    """The eight cases of statuses and price lists, for every market."""
+    cases = F.explode(F.array(*[F.struct(F.lit(a).alias("status"), F.lit(b).alias("prices")) for a, b, _ in _PRICES]))
+    rows = table(s, d, "polymarket_markets").select("market_id", cases.alias("c")).select("market_id", "c.*")
+    return rows.withColumn("winner", V.sole_winner(F.col("status"), V.json_list(F.col("prices"))))
 
 
 @query("select o_orderkey, year(o_orderdate) - (month(o_orderdate) < 3)::int as season from orders")
@@ -679,13 +778,16 @@ def pricing_rollup(s: SparkSession, d: str) -> DataFrame:
     return grouped.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "l_returnflag", "l_linestatus")).cast("long"))
 
 
-@query("""with m as (select news_id, lower(trim(text)) as name, entity_type, text, confidence, mention_role, mention_id from extracted_mentions)
-select news_id, name, entity_type, arg_min(text, mention_id) as text, max(confidence) as confidence, array_to_string(list_distinct(list(mention_role order by mention_id)), '') is not null as has_roles from m group by all""")
+@query(f"""with m as (select news_id, {norm_sql('text')} as name, entity_type, text, confidence, mention_role, mention_id from extracted_mentions),
+roles as (select news_id, name, entity_type, mention_role, min(mention_id) as seen from m where mention_role is not null group by all),
+listed as (select news_id, name, entity_type, string_agg(mention_role, '+' order by seen, mention_role) as roles from roles group by all)
+select m.news_id, m.name, m.entity_type, arg_min(m.text, m.mention_id) as text, max(m.confidence) as confidence, coalesce(max(l.roles), '') as roles
+from m left join listed l on l.news_id is not distinct from m.news_id and l.name is not distinct from m.name and l.entity_type is not distinct from m.entity_type group by m.news_id, m.name, m.entity_type""")
 def merged_mention_tags(s: SparkSession, d: str) -> DataFrame:
-    """The mentions of a post, repeated ones merged: the first spelling, the greatest confidence, all roles."""
-    tags = table(s, d, "extracted_mentions").select("news_id", F.lower(F.trim("text")).alias("name"), "entity_type", "text", "confidence", F.array("mention_role").alias("roles"), "mention_id")
+    """The mentions of a post, repeated ones merged: the first spelling, the greatest confidence, all roles in the order they came."""
+    tags = table(s, d, "extracted_mentions").select("news_id", X.normalize_name("text").alias("name"), "entity_type", "text", "confidence", F.array("mention_role").alias("roles"), "mention_id")
     merged = C.merged_tags(tags, ["news_id"], ["mention_id"], ["name", "entity_type"], ["text"], "confidence", "roles")
-    return merged.select("news_id", "name", "entity_type", "text", "confidence", F.col("roles").isNotNull().alias("has_roles"))
+    return merged.withColumn("roles", F.array_join("roles", "+"))
 
 
 # ---------------------------------------------------------------- raw records
@@ -700,17 +802,18 @@ def tokens_from_json(s: SparkSession, d: str) -> DataFrame:
 
 
 @query("""with raw as (select distinct trade_uid, side, price, size, epoch_us(traded_at) // 1000000 as seconds from polymarket_trades)
-select case when side is null or upper(side) not in ('BUY', 'SELL') then 'side' when size < 0 then 'size' else 'read' end as reason, count(*) as n from raw group by 1""")
+select trade_uid, case when side is null or side not in ('BUY', 'SELL') then 'side' when size < 0 then 'size' else 'read' end as reason, case when side in ('BUY', 'SELL') and not size < 0 then seconds end as seconds, case when side in ('BUY', 'SELL') and not size < 0 then price end as price from raw""")
 def trades_read_or_rejected(s: SparkSession, d: str) -> DataFrame:
     raw = table(s, d, "polymarket_trades").select(F.col("trade_uid").alias("uid"), "side", F.expr("cast(unix_micros(cast(traded_at as timestamp)) div 1000000 as string)").alias("seconds"), F.col("price").cast("string").alias("price"), F.col("size").cast("string").alias("size")).distinct()
     good, bad = N.readable_trades(raw)
-    return good.select(F.lit("read").alias("reason")).unionByName(bad.select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    shown = good.select(F.col("uid").alias("trade_uid"), F.lit("read").alias("reason"), F.unix_seconds("traded_at").alias("seconds"), "price")
+    return shown.unionByName(bad.select(F.col("uid").alias("trade_uid"), "reason", F.lit(None).cast("long").alias("seconds"), F.lit(None).cast("decimal(18,8)").alias("price")))
 
 
-@query("""select entity_id, coalesce(array_to_string(list_filter([['canonical', canonical_name], ['team', teams[1]], ['role', roles[1]]], lambda x: x[2] is not null).list_transform(lambda x: '[' || x[1] || ']' || chr(10) || x[2]), chr(10) || chr(10)), '') as evidence from candidate_entities""")
+@query("""select entity_id, coalesce(array_to_string(list_filter([['canonical', canonical_name], ['teams', array_to_string(teams, ', ')], ['roles', array_to_string(roles, ', ')], ['aliases', array_to_string(aliases, ', ')]], lambda x: trim(x[2]) <> '').list_transform(lambda x: '[' || x[1] || ']' || chr(10) || x[2]), chr(10) || chr(10)), '') as evidence from candidate_entities""")
 def evidence_sections(s: SparkSession, d: str) -> DataFrame:
-    first = lambda c: F.get(c, F.lit(0))
-    text, _ = N.evidence([("canonical", F.col("canonical_name")), ("team", first("teams")), ("role", first("roles"))])
+    listed = lambda c: F.array_join(c, ", ")
+    text, _ = N.evidence([("canonical", F.col("canonical_name")), ("teams", listed("teams")), ("roles", listed("roles")), ("aliases", listed("aliases"))])
     return table(s, d, "candidate_entities").select("entity_id", text.alias("evidence"))
 
 

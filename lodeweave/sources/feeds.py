@@ -7,6 +7,7 @@ file under Hive-style folders. Reading is a scan with an explicit schema.
 from __future__ import annotations
 
 import gzip
+import hashlib
 import json
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from lodeweave.session import SharedPath
+
 HEADER = "schema_name string, schema_version int, provider string, source string, object_type string, ingest_run_id string, ingested_at timestamp"
 FOLDERS = ["provider", "source", "object", "schema", "date", "hour"]
 
@@ -92,6 +95,40 @@ def newest(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.read.parquet(names[-1])
 
 
+def read_database(spark: SparkSession, url: str, name: str, key: str, parts: int, low: int, high: int, **options: str) -> DataFrame:
+    """A table of a database over JDBC, read by ``parts`` tasks that each take a range of the whole-number ``key``; filters and columns are pushed down."""
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", name).option("partitionColumn", key)
+    reader = reader.option("numPartitions", parts).option("lowerBound", low).option("upperBound", high)
+    return reader.options(**options).load()
+
+
+def write_report(spark: SparkSession, path: str, report: dict) -> None:
+    """A report as one JSON file, replaced whole: a reader sees the old one or the new one."""
+    SharedPath(spark, path).write(json.dumps(report, sort_keys=True, ensure_ascii=False, default=str))
+
+
+def chunks(items: Sequence, most: int) -> list[list]:
+    """The items in order, at most so many to a request."""
+    return [list(items[i : i + most]) for i in range(0, len(items), most)]
+
+
+def query_fingerprint(**config: object) -> str:
+    """A digest of what a query asks for, whatever the order of its settings."""
+    return hashlib.sha256(json.dumps(config, sort_keys=True, separators=(",", ":"), ensure_ascii=False, default=str).encode()).hexdigest()
+
+
+def fetched(fetch: Callable[[], dict], attempts: int, sleep: Callable[[float], None], jitter: Callable[[], float], retry_on: frozenset[int] = frozenset({429, 500, 502, 503, 504})) -> dict:
+    """What ``fetch`` gives (status, and body or retry_after), tried again with growing delays while its status is one to retry; another bad status is an error at once."""
+    for attempt in range(attempts):
+        answer = fetch()
+        if answer["status"] < 400:
+            return answer
+        if answer["status"] not in retry_on or attempt + 1 == attempts:
+            raise RuntimeError(f"status {answer['status']} after {attempt + 1} attempts")
+        sleep(retry_delay(attempt, answer.get("retry_after"), jitter()))
+    raise ValueError("attempts must be positive")
+
+
 def pack_terms(terms: Sequence[str], most: int, joiner: str = " OR ", tail: str = "") -> list[str]:
     """Terms packed in order into as few queries as greedy filling gives, none longer than ``most``."""
     out: list[str] = []

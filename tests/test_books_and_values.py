@@ -1,13 +1,15 @@
 import datetime as dt
 import uuid
+from decimal import Decimal
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from lodeweave.functions import text as X
 from lodeweave.functions import values as V
 from lodeweave.operators import books as B
-from lodeweave.operators.events import Rule, bucket
+from lodeweave.operators.events import Rule, bucket, labelled
 
 LADDER = "array<struct<price:string,size:string>>"
 
@@ -39,8 +41,13 @@ def test_values(spark):
 
 def test_text(spark):
     assert X.name_form("  D.J. Moore Jr. ") == "dj moore jr" and X.name_form("O’Neil  ﬁx") == "o'neil fix" and X.name_form(None) is None and X.name_form("Straße") == "strasse"
+    # initials: only the dot of a pair at the end of a word is joined
+    assert X.name_form("J.K.L. Dobbins") == "j kl dobbins" and X.name_form("T.J.Watt") == "t j watt" and X.name_form("A. B. Cee") == "a b cee"
+    texts = ["Player AB", "NO", "no", "Someone  ELSE.", "  ", None, "Ann", "yes", "No listed player", "Field", "Player ABC"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(X.placeholder(F.col("t"))).collect()] == ["placeholder", None, "generic", "generic", None, None, None, "generic", "generic", None, None]
+    assert [r[0] for r in spark.createDataFrame([("ann lee jr",), ("lee iii jr",), ("jr walker",), ("v",), ("ann",)], "n string").select(X.without_suffixes(F.col("n"))).collect()] == ["ann lee", "lee", "jr walker", "", "ann"]
     df = spark.createDataFrame([("Player AB", "a", "b"), ("NO", "abcd", "bcde"), ("no", None, "x"), ("Any other", "", ""), ("  ", "x", "x"), (None, "x", "y"), ("Ann", "x", "y")], "t string, a string, b string")
-    assert [r[0] for r in df.select(X.placeholder(F.col("t"))).collect()] == ["placeholder", None, "boolean", "generic", "blank", "blank", None]
     assert [r[0] for r in df.select(X.ratio("a", "b")).collect()] == [0.0, 0.75, None, 1.0, 1.0, 0.0, 0.0]
     assert df.select(X.normalize_name("t")).collect()[0][0] == "player ab"
     found = spark.range(1).select(X.has_word(F.lit("The TRADE's on"), ["trade"]).alias("a"), X.has_word(F.lit("trader"), ["trade"]).alias("b"), X.excerpt(F.lit("one\nhere Ann is\nend"), F.lit("ann")).alias("c"), X.excerpt(F.lit("x"), F.lit("ann")).alias("d"),
@@ -54,11 +61,49 @@ def test_articles():
     assert X.article(None) is None and X.article("") == "" and len(X.article("<p>" + "x" * 99_999)) == 12_000
 
 
-def test_buckets(spark):
-    df = spark.createDataFrame([(None, 0.0, 9.0, 9, 9.0), (0.01, 0.0, 9.0, 9, 9.0), (-0.02, 0.0, 9.0, 9, 9.0), (0.009, 0.0, 9.0, 9, 9.0), (0.02, 0.04, 9.0, 9, 9.0), (0.02, 0.05, 9.0, 9, 9.0), (0.02, 0.09, 9.0, 9, 9.0), (0.02, 0.0, 1.0, 9, 9.0), (0.02, 0.0, 9.0, None, 9.0), (0.02, 0.0, 9.0, 1, 9.0)], "d double, s double, p double, c int, w double")
-    rule = Rule(0.01, most_spread=0.06, least_depth=2, min_trades=2, min_worth=5)
-    cast = lambda c: F.col(c).cast("decimal(18,8)")
-    assert [r[0] for r in df.select(bucket(rule, cast("d"), cast("s"), [cast("p")], F.col("c"), cast("w"))).collect()] == [None, "up", "down", "flat", "up", "flat", None, None, None, "flat"]
+def _bucket(delta, count, worth, spread, bid, ask, rule):
+    """The rule by its description, with Python's decimals."""
+    dec = lambda x: None if x is None else Decimal(str(x))
+    delta, worth, spread, bid, ask = map(dec, (delta, worth, spread, bid, ask))
+    least = rule.cents / 100
+    if rule.book_quality:
+        if spread is None or spread > rule.most_spread_cents / 100 or bid is None or ask is None or min(bid, ask) < rule.least_depth:
+            return None
+        least = max(least, spread / 2)
+    if delta is None:
+        return None
+    if abs(delta) < least:
+        return "flat"
+    if rule.trade_confirmed:
+        if count is None:
+            return None
+        if count < rule.min_trades or (worth or 0) < rule.min_worth:
+            return "flat"
+    return "up" if delta > 0 else "down"
+
+
+def test_buckets_in_all_cases(spark):
+    import itertools
+
+    cases = list(itertools.product([None, 0.05, -0.05, 0.02, 0.019, 0.0], [None, 1, 2], [None, 49.99, 50.0], [None, 0.0, 0.05, 0.06], [None, 100.0, 99.0], [100.0, None]))
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, d double, n int, w double, s double, b double, a double")
+    cast = [F.col(c).cast("decimal(18,8)") for c in ("d", "s", "b", "a")]
+    rules = [Rule(trade_confirmed=t, book_quality=q) for t in (True, False) for q in (True, False)]
+    for rule in rules:
+        got = dict(df.select("i", bucket(rule, *cast, F.col("n"), F.col("w").cast("decimal(18,8)"))).collect())
+        assert got == {i: _bucket(*c, rule) for i, c in enumerate(cases)}, rule
+    assert [r.column for r in rules] == ["target_plus_30m_2c_tc", "target_plus_30m_2c_tc_nobook", "target_plus_30m_2c_raw", "target_plus_30m_2c_raw_nobook"] and Rule("plus_2h", Decimal("0.5")).column == "target_plus_2h_0p5c_tc"
+    rows = df.withColumn("delta_plus_30m", cast[0])
+    assert labelled(rows, rules[3:]).where("target_plus_30m_2c_raw_nobook = 'up'").count() > 0
+    with pytest.raises(ValueError, match="spread"):
+        labelled(rows, rules[:1])
+
+
+def test_unreadable_levels_reject_a_book_only_where_asked(spark):
+    ladder = "array<struct<price:string,size:string>>"
+    rows = [("ok", [("0.5", "1")], []), ("bad", [("0.5", "1"), ("x", "1")], None), ("out", [("1.5", "1")], []), ("none", None, None)]
+    df = spark.createDataFrame(rows, f"k string, b {ladder}, a {ladder}")
+    assert {r.k for r in B.normalize_books(df, "b", "a", F.lit(10), strict=True).collect()} == {"ok", "none"} and B.normalize_books(df, "b", "a", F.lit(10)).count() == 4
 
 
 def test_article_query_keeps_long_pages_and_plain_texts(spark, tmp_path):

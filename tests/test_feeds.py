@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from lodeweave.operators import merge as M
 from lodeweave.operators import queue as Q
 from lodeweave.sources import feeds as S
 
@@ -73,3 +74,35 @@ def test_queue(spark):
     assert taken[2] == ("leased", 2, "w") and taken[6] == ("leased", 4, "w") and taken[1] == ("pending", 0, None) and taken[3] == ("leased", 1, None)
     failed = {r.job_id: (r.status, r.available_at.second) for r in Q.fail(jobs, F.col("job_id").isin(2, 6), now).collect()}
     assert failed[2] == ("pending", 1) and failed[6][0] == "dead" and failed[5][0] == "done"
+
+
+def test_retries_chunks_and_reports(spark, tmp_path):
+    answers, slept = [{"status": 429, "retry_after": 5}, {"status": 503}, {"status": 200, "body": "x"}], []
+    assert S.fetched(lambda: answers.pop(0), 3, slept.append, lambda: 0.0)["body"] == "x" and slept == [5, 2.0]
+    with pytest.raises(RuntimeError, match="404 after 1"):
+        S.fetched(lambda: {"status": 404}, 3, slept.append, lambda: 0.0)
+    with pytest.raises(RuntimeError, match="500 after 2"):
+        S.fetched(lambda: {"status": 500}, 2, slept.append, lambda: 0.0)
+    assert S.chunks([1, 2, 3, 4, 5], 2) == [[1, 2], [3, 4], [5]] and S.chunks([], 2) == []
+    assert S.query_fingerprint(a=1, b=["x"]) == S.query_fingerprint(b=["x"], a=1) != S.query_fingerprint(a=2, b=["x"])
+    S.write_report(spark, f"file://{tmp_path}/r.json", {"b": 1, "a": "é"})
+    assert json.loads((tmp_path / "r.json").read_text()) == {"a": "é", "b": 1}
+
+
+def test_outbox_and_cursors(spark):
+    space, now = "6ba7b814-9dad-11d1-80b4-00c04fd430c8", F.lit("2024-01-10").cast("timestamp")
+    shape = "job_id string, job_type string, idempotency_key string, payload string, status string, priority int, attempts int, max_attempts int, available_at timestamp, created_at timestamp, owner string"
+    wanted = spark.createDataFrame([("t", "k1", "{}", 0, 5), ("t", "k1", "{}", 9, 5), ("t", "k2", "{}", 0, 5)], "job_type string, idempotency_key string, payload string, priority int, max_attempts int")
+    once = Q.enqueue(spark.createDataFrame([], shape), wanted, space, now)
+    assert {(r.idempotency_key, r.priority, r.status, r.owner) for r in once.collect()} == {("k1", 9, "pending", None), ("k2", 0, "pending", None)}
+    assert Q.enqueue(once, wanted, space, now).count() == 2
+    seeded = Q.seed(once, spark.createDataFrame([("k2",), ("k3",), ("k3",), ("k4",)], "k string"), spark.createDataFrame([("k4",)], "k string"), "t", "k", space, now)
+    assert sorted(r.idempotency_key for r in seeded.collect()) == ["k1", "k2", "k3"]
+    at = dt.datetime(2024, 1, 9)
+    rows = [("a", "1", "q", at), ("b", "1", "other", at), ("c", "1", "q", dt.datetime(2023, 1, 1)), ("d", None, "q", at), ("e", "1", "q", None)]
+    got = {r.n: (r.since, r.reason) for r in Q.cursor_choice(spark.createDataFrame(rows, "n string, since_id string, query_fingerprint string, updated_at timestamp"), F.lit("q"), now).collect()}
+    assert got == {"a": ("1", None), "b": (None, "query_changed"), "c": (None, "checkpoint_stale_or_legacy"), "d": (None, "checkpoint_missing"), "e": (None, "checkpoint_stale_or_legacy")}
+    cursors = spark.createDataFrame([("s", 5), (None, 1)], "k string, t int")
+    assert M.checkpoint(cursors, k="s") == {"k": "s", "t": 5} and M.checkpoint(cursors, k=None)["t"] == 1 and M.checkpoint(cursors, k="z") is None
+    moved = {(r.k, r.t) for r in M.last_poll(cursors, spark.createDataFrame([("s", 2), ("s", 1), ("n", 3)], "k string, t int"), ["k"], "t").collect()}
+    assert moved == {("s", 2), (None, 1), ("n", 3)}

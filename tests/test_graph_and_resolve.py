@@ -57,9 +57,6 @@ def test_fuzzy_candidates_against_difflib(spark):
             if block and score >= 0.65:
                 want[m, e] = max(want.get((m, e), 0), round(score, 9))
     assert got == want
-    exact = R.exact_matches(mentions, registry)
-    states = {r.mention_id: r.status for r in R.resolutions(mentions, exact, R.fuzzy_candidates(mentions, registry)).collect()}
-    assert states == {"m1": "resolved", "m2": "ambiguous", "m3": "unresolved", "m4": "unresolved"}
     assert R.fuzzy_candidates(mentions, registry, limit=1).count() == 2 and R.fuzzy_candidates(mentions.limit(0), registry).count() == 0
 
 
@@ -92,8 +89,30 @@ def test_fuzzy_candidates_use_all_aliases_and_all_rows_without_block(spark, monk
 
 
 def test_short_aliases(spark):
-    df = spark.createDataFrame([("NBO", "NBO", "team"), ("nbo", "NBO", "team"), ("NBO", "NBO", "person"), ("x", "Owls", "team")], "t string, a string, k string")
-    assert [r[0] for r in df.select(R.safe_alias(F.col("t"), F.col("a"), F.col("k"))).collect()] == [True, False, False, True]
+    df = spark.createDataFrame([("NBO", ["NBO"], "team"), ("nbo", ["NBO"], "team"), ("NBO", ["NBO"], "person"), ("Owls", ["x"], "person"), ("N.B", ["N.B"], "team"), ("12", ["12"], "team")], "t string, a array<string>, k string")
+    assert [r[0] for r in df.select(R.safe_alias(F.col("t"), F.col("a"), F.col("k"))).collect()] == [True, False, False, True, True, False]
+
+
+def test_resolution_states(spark):
+    registry = spark.createDataFrame([("e1", "person", "Ann Lee", "ann lee"), ("e1", "person", "A. Lee", "a lee"), ("e2", "person", "Bob", "bob"), ("e3", "person", "Bob", "bob"), ("t", "team", "NBO", "nbo"), ("e4", "person", None, None)], "entity_id string, entity_type string, alias string, name string")
+    mentions = spark.createDataFrame([("m1", "Ann Lee", "ann lee", "person"), ("m2", "ANN LEE", "ann lee", "person"), ("m3", "Bob", "bob", "person"), ("m4", "nbo", "nbo", "team"), ("m5", "NBO", "nbo", "team"), ("m6", "Zed", "zed", "person"), ("m7", None, None, "person"), ("m8", "Ann Leigh", "ann leigh", "person")], "mention_id string, text string, name string, entity_type string")
+    fuzzy = spark.createDataFrame([("m3", 1.0), ("m4", 1.0), ("m8", 0.75), ("m8", 0.7)], "mention_id string, score double")
+    plain = {r.mention_id: (r.status, r.entity_id, r.method) for r in R.resolutions(mentions, registry, fuzzy).collect()}
+    assert plain == {"m1": ("resolved", "e1", "exact_alias"), "m2": ("resolved", "e1", "normalized_alias"), "m3": ("adjudicate", None, None), "m4": ("adjudicate", None, None), "m5": ("resolved", "t", "exact_alias"), "m6": ("unresolved", None, None), "m7": ("unresolved", None, None), "m8": ("adjudicate", None, None)}
+    made = {r.mention_id: (r.status, r.method) for r in R.resolutions(mentions, registry, fuzzy, may_create=True).collect()}
+    assert made["m6"] == made["m8"] == ("provisional", "provisional_creation") and made["m3"][0] == "adjudicate" and made["m7"][0] == "unresolved"
+
+
+def test_expanded_candidates_and_reconciliation(spark):
+    now = spark.createDataFrame([("m1", "e1", "person"), ("m2", "e2", "person"), ("m3", "t1", "person"), ("m4", None, "person")], "mention_id string, entity_id string, entity_type string")
+    found = spark.createDataFrame([("m1", "e1", 0.9, 1), ("m2", "e9", 0.5, 1)], "mention_id string, entity_id string, score double, rank int")
+    kinds = spark.createDataFrame([("e1", "person"), ("e2", "person"), ("t1", "team")], "entity_id string, entity_type string")
+    assert {(r.mention_id, r.entity_id, r.score) for r in R.expanded_candidates(now, found, kinds).collect()} == {("m1", "e1", 0.9), ("m2", "e9", 0.5), ("m2", "e2", None)}
+    entities = spark.createDataFrame([("p1", "ann", "provisional"), ("p2", "bob", "provisional"), ("c1", "x", "canonical"), ("c2", "y", "canonical")], "entity_id string, name string, identity_status string")
+    aliases = spark.createDataFrame([("c1", "ann"), ("c1", "bob"), ("c2", "bob"), ("p1", "ann"), ("c2", None)], "entity_id string, name string")
+    assert [tuple(r) for r in R.reconciled(entities, aliases).collect()] == [("p1", "c1")]
+    cases = spark.createDataFrame([("a", "b", "a", 1.0), ("a", "a", "a", 0.5), ("a", "a", "a", 0.9), (None, None, "a", 1.0)], "f string, s string, c string, p double")
+    assert [r[0] for r in cases.select(R.audited(F.col("f"), F.col("s"), F.col("c"), F.col("p"))).collect()] == ["pass_disagreement", "low_confidence", "confirmed", "proposed_change"]
 
 
 def test_linking(spark):
