@@ -11,6 +11,7 @@ from lodeweave.llm.mixture import mix
 from lodeweave.llm.nearest import nearest_in_time
 from lodeweave.llm.reading import reading_levels
 from lodeweave.llm.variants import link_mentions
+from lodeweave.session import materialize
 from lodeweave.tables import micros, table
 
 TOLERANCE_US = 600_000_000
@@ -77,6 +78,30 @@ def p9_selection(spark: SparkSession, folder: str) -> DataFrame:
     return mix(_sized(spark, folder), table(spark, folder, "mixture_targets"))[0]
 
 
+def p9_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of every selection, told from its rows: the shares aimed at, and whether no document is used more than its source's max_repeats times.
+
+    ``met_or_short`` is whether a source reaches its target to within a
+    document an end of a range, or else uses every text it may have as often
+    as it may.
+    """
+    targets, sized = table(spark, folder, "mixture_targets"), materialize(_sized(spark, folder))
+    chosen, shares = mix(sized, targets)
+    goals = targets.where("source is not null and target_weight > 0").groupBy("mix_name", "source").agg(F.max("max_repeats").alias("limit"))
+    used = chosen.groupBy("mix_name", "source").agg(F.max("copies").alias("most"), F.max("n_tokens").alias("longest"))
+    have = sized.where("n_tokens > 0").groupBy("source", "unit").agg(F.max("n_tokens").alias("n")).groupBy("source").agg(F.sum("n").alias("tokens"))
+    rows = shares.join(goals, ["mix_name", "source"]).join(used, ["mix_name", "source"], "left").join(have, "source", "left").na.fill(0, ["most", "longest", "tokens"])
+    met = F.abs(F.col("actual_tokens") - F.col("target_tokens")) <= F.col("longest") * (F.col("limit") + 1)
+    short = F.col("target_tokens") >= F.col("tokens") * F.col("limit") - F.col("longest")
+    return rows.select("mix_name", "source", F.round("target_share", 6).alias("target_share"), (F.col("most") <= F.col("limit")).alias("repeats_kept"), (met | short).alias("met_or_short"))
+
+
+P9_SQL = """
+with goals as (select mix_name, source, max(target_weight) as w from mixture_targets where source is not null and target_weight > 0 group by 1, 2)
+select mix_name, source, round(w / sum(w) over (partition by mix_name), 6) as target_share, true as repeats_kept, true as met_or_short from goals
+"""
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     """The documents in English prose whose text as a whole is demanding."""
     levels, cut = reading_levels(table(spark, folder, "documents"), table(spark, folder, "reading_labels"))
@@ -89,5 +114,5 @@ def p10_levels(spark: SparkSession, folder: str) -> DataFrame:
     return levels.select("doc_id", "is_prose", "level", "as_grade", "n_words", (F.col("level") >= cut).alias("is_demanding"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p3_found": p3_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_selection": p9_selection, "p10_found": p10_found, "p10_levels": p10_levels}
-SQL = {"p3_found": P3_SQL}
+QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p3_found": p3_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_selection": p9_selection, "p9_invariants": p9_invariants, "p10_found": p10_found, "p10_levels": p10_levels}
+SQL = {"p3_found": P3_SQL, "p9_invariants": P9_SQL}
