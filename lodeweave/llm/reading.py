@@ -58,9 +58,9 @@ NUMBER = 0
 
 def tokens(text: Column) -> Column:
     """The words of a text in lower case, and its numbers; markup, links and names of accounts are left out."""
-    plain = F.regexp_replace(text, "[\\u200B\\u200C\\u200D\\uFEFF\\u00AD]", "")
+    plain = F.translate(text, "\u200B\u200C\u200D\uFEFF\u00AD", "")
     plain = F.regexp_replace(plain, r"</?[A-Za-z!][^<>]*>|https?://\S+|[@#]\w+", " ")
-    return F.regexp_extract_all(F.lower(plain), F.lit(r"(?U)(\p{L}+(?:['’]\p{L}+)*|\d+(?:[.,:]\d+)*)"), 1)
+    return F.regexp_extract_all(F.lower(plain), F.lit(r"(\p{L}+(?:['’]\p{L}+)*|[0-9]+(?:[.,:][0-9]+)*)"), 1)
 
 
 def features(documents: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -70,7 +70,8 @@ def features(documents: DataFrame, doc: str = "doc_id", text: str = "text", lang
     language isn't told, or documents have no such column. A language that is
     told to be none (as of tables and symbols) isn't English.
     """
-    cell = lambda w: F.when(w.rlike(r"^\d"), F.lit(NUMBER).cast("long")).otherwise(F.xxhash64(w))
+    # digits come before all letters
+    cell = lambda w: F.when(w < "a", F.lit(NUMBER).cast("long")).otherwise(F.xxhash64(w))
     told = F.lower(F.trim(F.col(lang))) if lang in documents.columns else F.lit(None).cast("string")
     english = F.when(told.isNotNull() & (told != ""), told.startswith("en").cast("double"))
     return documents.select(F.col(doc).alias("doc_id"), F.coalesce(F.transform(tokens(F.col(text)), cell), F.array().cast("array<long>")).alias("cells"), english.alias("english"))
