@@ -38,6 +38,20 @@ def test_the_unmatched_may_be_of_several_sorts():
                 assert (p[v] > 0.5) == (min(v) >= 0.9), (scale, left_out, v, p[v])
 
 
+def test_posteriors_are_near_the_share_of_true_pairs():
+    """Matches and four sorts of others whose similarities overlap, drawn with known truth."""
+    for seed in (1, 2):
+        rng, n = np.random.default_rng(seed), 2000
+        sorts = [(n, (0.9, 0.9, 0.9, 0.9)), (2 * n, (0.9, 0.9, 0.4, 0.9)), (n, (0.9, 0.9, 0.9, 0.4)), (n // 4, (0.9, 0.4, 0.9, 0.9)), (n // 8, (0.4, 0.9, 0.9, 0.9))]
+        x = np.clip(np.concatenate([np.stack([rng.normal(m, 0.1, k) for m in means], axis=1) for k, means in sorts]), 0, 1)
+        true = np.arange(len(x)) < n
+        p = fit(x, np.ones(len(x))).posterior(x)
+        assert abs(p.sum() - n) < 0.05 * n
+        for low, high in ((0, 0.1), (0.1, 0.3), (0.3, 0.5), (0.5, 0.7), (0.7, 0.9), (0.9, 1.01)):
+            part = (p >= low) & (p < high)
+            assert part.sum() > 30 and abs(p[part].mean() - true[part].mean()) < 0.16, (seed, low)
+
+
 def test_transitivity_lowers_the_weaker_of_contradicting_matches(spark):
     pairs = lambda rows, a, b: spark.createDataFrame(rows, f"{a} long, {b} long, p double")
     scored = pairs([(1, 10, 0.9), (1, 11, 0.8), (2, 20, 0.9), (2, 21, 0.8), (3, 30, 0.99)], "l", "r")
