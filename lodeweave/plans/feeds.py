@@ -306,3 +306,43 @@ def cursor_last_poll(s: SparkSession, d: str) -> DataFrame:
     old = rows.where(F.col("observed_at") < F.lit("2016-09-15").cast("timestamp_ntz")).groupBy("market_id").agg(F.max("at_us").alias("at_us"))
     polled = rows.groupBy("market_id").agg(F.min("at_us").alias("at_us"), F.count(F.lit(1)).alias("n")).where("n > 3").drop("n")
     return M.last_poll(old, polled, ["market_id"], "at_us")
+
+
+@query("""with m as (select event_id, string_agg(market_id || '=' || question, ';' order by market_id) as listed, count(*) as n from polymarket_markets where trim(question) <> '' group by 1)
+select e.event_id, e.title, e.category, coalesce(e.closed, false) as closed, epoch_us(e.start_at) as start_us, coalesce(array_to_string(list_sort(list_transform(e.tags, lambda t: t)), '+'), '') as tags, coalesce(n, 0) as n_markets, coalesce(listed, '') as listed
+from polymarket_events e left join m using (event_id) where trim(e.title) <> ''""")
+def events_from_json(s: SparkSession, d: str) -> DataFrame:
+    """Events and their markets written as the feed writes them, nested, and read again."""
+    market = F.struct(F.col("market_id").alias("id"), "question", F.col("condition_id").alias("conditionId"), "active", "closed")
+    nested = table(s, d, "polymarket_markets").groupBy("event_id").agg(F.collect_list(market).alias("markets"))
+    tags = F.transform(F.coalesce("tags", F.array().cast("array<string>")), lambda t: F.struct(t.alias("id"), t.alias("slug"), t.alias("label")))
+    start = F.concat(F.date_format("start_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    raw = table(s, d, "polymarket_events").join(nested, "event_id", "left").select(F.to_json(F.struct(F.col("event_id").alias("id"), "title", "category", "closed", start.alias("startDate"), tags.alias("tags"), "markets")).alias("raw"))
+    shown = F.array_join(F.transform(F.array_sort(F.transform("markets", lambda m: F.struct(m["id"].alias("id"), m["question"].alias("q")))), lambda m: F.concat(m["id"], F.lit("="), m["q"])), ";")
+    return N.events_from_json(raw, "raw").select("event_id", "title", "category", "closed", micros("start_at").alias("start_us"), F.array_join(F.transform("tags", lambda t: t["id"]), "+").alias("tags"), F.size("markets").cast("long").alias("n_markets"), shown.alias("listed"))
+
+
+@query("""with posts as (select news_id, max(text) as text from news_events group by 1), linked as (select news_id, min(market_id) as market_id from news_market_links where platform = 'polymarket' group by 1),
+direct as (select news_id, min(event_id) as event_id from news_market_links where platform = 'polymarket' group by 1)
+select m.mention_id, k.question, via.title as title_by_market, own.title as title, array_to_string(list_distinct(list_filter([trim(p.text), trim(k.question), trim(via.title), trim(own.title)], lambda x: x is not null and x <> '')), '|') is not null as has_context
+from extracted_mentions m left join posts p using (news_id) left join linked l on l.news_id = m.news_id left join polymarket_markets k on k.market_id = l.market_id left join polymarket_events via on via.event_id = k.event_id
+left join direct d on d.news_id = m.news_id left join polymarket_events own on own.event_id = d.event_id""")
+def mention_sources(s: SparkSession, d: str) -> DataFrame:
+    """Every mention with what it may be read with: its post, a market linked to it, and an event reached by that market and directly."""
+    posts = table(s, d, "news_events").groupBy("news_id").agg(F.max("text").alias("post"))
+    linked = table(s, d, "news_market_links").where("platform = 'polymarket'").groupBy("news_id").agg(F.min("market_id").alias("market_id"), F.min("event_id").alias("direct"))
+    markets = table(s, d, "polymarket_markets").select("market_id", "question", F.col("event_id").alias("by_market"))
+    events = table(s, d, "polymarket_events").select("event_id", "title")
+    via, own = (events.select(F.col("event_id").alias(key), F.col("title").alias(name)) for key, name in (("by_market", "title_by_market"), ("direct", "title")))
+    rows = table(s, d, "extracted_mentions").select("mention_id", "news_id").join(posts, "news_id", "left").join(linked, "news_id", "left").join(markets, "market_id", "left").join(via, "by_market", "left").join(own, "direct", "left")
+    context = N.joined_context(*[F.col(c) for c in ("post", "question", "title_by_market", "title")])
+    return rows.select("mention_id", "question", "title_by_market", "title", context.isNotNull().alias("has_context"))
+
+
+@query("""with seen as (select news_id, raw_run, mention_id from (select m.news_id, n.first_raw_ingest_run_id as raw_run, m.mention_id from extracted_mentions m join (select news_id, min(first_raw_ingest_run_id) as first_raw_ingest_run_id from news_events group by 1) n using (news_id)))
+select raw_run as run, count(distinct mention_id) as mentions, count(distinct news_id) as posts from seen group by 1""")
+def mentions_per_run(s: SparkSession, d: str) -> DataFrame:
+    """How many mentions, and of how many posts, each run of the collector brought first."""
+    first = table(s, d, "news_events").groupBy("news_id").agg(F.min("first_raw_ingest_run_id").alias("run"))
+    rows = table(s, d, "extracted_mentions").select("news_id", "mention_id").join(first, "news_id")
+    return rows.groupBy("run").agg(F.count_distinct("mention_id").alias("mentions"), F.count_distinct("news_id").alias("posts"))

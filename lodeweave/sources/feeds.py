@@ -169,6 +169,45 @@ def pages(fetch: Callable[[str, str | None], dict], name: str, most: int) -> Ite
     raise ValueError(f"{name}: more than {most} pages")
 
 
+def found_posts(fetch: Callable[[str | None], dict], most: int) -> Iterator[dict]:
+    """The pages of a search, newest first, all under the one cursor of its beginning; a page beyond ``most`` is an error, so that no checkpoint moves past posts not read."""
+    token = None
+    for _ in range(most):
+        page = fetch(token)
+        yield page
+        token = page.get("next_token")
+        if not token:
+            return
+    raise ValueError(f"more than {most} pages")
+
+
+def looked_up_by_id(fetch: Callable[[list], list[dict]], ids: Sequence, most: int, key: str = "id") -> tuple[list[dict], list]:
+    """The records of ids, asked for in batches and given in the order asked, and the ids that didn't come back; none at all is an error."""
+    held = {record[key]: record for batch in chunks(list(dict.fromkeys(ids)), most) for record in fetch(batch)}
+    if ids and not held:
+        raise ValueError("nothing came back")
+    wanted = list(dict.fromkeys(ids))
+    return [held[i] for i in wanted if i in held], [i for i in wanted if i not in held]
+
+
+def recent_trades(fetch: Callable[[list, int], list[dict]], markets: Sequence, floor: int, batch: int, page: int, most: int, at: str = "timestamp", key: str = "uid") -> tuple[list[dict], list[list]]:
+    """The trades of markets from ``floor`` on, each once, oldest first, and the batches of which not all could be read.
+
+    Pages of a batch come newest first; the scan of a batch ends with a short
+    page, or with one that reaches behind the floor, or at ``most`` pages.
+    """
+    held, cut = {}, []
+    for some in chunks(markets, batch):
+        for number in range(most):
+            rows = fetch(some, number * page)
+            held.update({r[key]: r for r in rows if r[at] >= floor})
+            if len(rows) < page or min(r[at] for r in rows) < floor:
+                break
+        else:
+            cut.append(some)
+    return sorted(held.values(), key=lambda r: (r[at], r[key])), cut
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options

@@ -73,6 +73,29 @@ def markets_from_json(raw: DataFrame, column: str) -> tuple[DataFrame, DataFrame
     return markets, zipped.where("z.token_id is not null").select("market_id", "outcome_index", "z.token_id", "z.outcome")
 
 
+EVENT = "struct<id:string,slug:string,ticker:string,gameId:string,title:string,description:string,category:string,active:boolean,closed:boolean,startDate:string,endDate:string,tags:array<struct<id:string,slug:string,label:string>>,markets:array<struct<id:string,question:string,conditionId:string,active:boolean,closed:boolean>>>"
+
+
+def events_from_json(raw: DataFrame, column: str) -> DataFrame:
+    """Events with their markets nested, from JSON: rows without id or title are no events, nested ones without id or question no markets; tags are in order of id and slug."""
+    e = raw.select(F.from_json(column, EVENT).alias("e")).select("e.*").where(V.blank_to_null(F.col("id")).isNotNull() & V.blank_to_null(F.col("title")).isNotNull())
+    kept = F.filter(F.coalesce("markets", F.array().cast("array<struct<id:string,question:string,conditionId:string,active:boolean,closed:boolean>>")), lambda m: V.blank_to_null(m["id"]).isNotNull() & V.blank_to_null(m["question"]).isNotNull())
+    tags = F.array_sort(F.transform(F.coalesce("tags", F.array().cast("array<struct<id:string,slug:string,label:string>>")), lambda t: F.struct(t["id"].alias("id"), t["slug"].alias("slug"), t["label"].alias("label"))))
+    no = F.lit(False)
+    return e.select(F.col("id").alias("event_id"), "slug", "ticker", F.col("gameId").alias("game_id"), "title", "description", "category", F.coalesce("active", no).alias("active"), F.coalesce("closed", no).alias("closed"), V.iso_time(F.col("startDate")).alias("start_at"), V.iso_time(F.col("endDate")).alias("end_at"), tags.alias("tags"), kept.alias("markets"))
+
+
+def joined_context(*texts: Column, most: int | None = None) -> Column:
+    """The texts that aren't blank, each once and in order, with a blank line between; at most ``most`` characters where told."""
+    whole = F.array_join(F.array_distinct(F.filter(F.array(*[F.trim(t) for t in texts]), lambda t: t.isNotNull() & (t != ""))), "\n\n")
+    return whole if most is None else F.substring(whole, 1, most)
+
+
+def wanted_series(series: DataFrame, patterns: Sequence[str]) -> DataFrame:
+    """The series whose ticker fits one of the patterns, each once."""
+    return series.where(F.col("ticker").rlike("|".join(f"(?:{p})" for p in patterns))).dropDuplicates(["ticker"])
+
+
 def present_fields(json: Column, fields: Sequence[str]) -> Column:
     """JSON of the listed fields that are present, in order of their names; a null field is kept, an absent one is not added, and numbers stay numbers."""
     parsed = F.try_parse_json(json)

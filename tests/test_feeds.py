@@ -106,3 +106,20 @@ def test_outbox_and_cursors(spark):
     assert M.checkpoint(cursors, k="s") == {"k": "s", "t": 5} and M.checkpoint(cursors, k=None)["t"] == 1 and M.checkpoint(cursors, k="z") is None
     moved = {(r.k, r.t) for r in M.last_poll(cursors, spark.createDataFrame([("s", 2), ("s", 1), ("n", 3)], "k string, t int"), ["k"], "t").collect()}
     assert moved == {("s", 2), (None, 1), ("n", 3)}
+
+
+def test_scans_of_posts_ids_and_trades():
+    posts = {None: {"data": [2], "next_token": "a"}, "a": {"data": [1]}}
+    assert [p["data"] for p in S.found_posts(posts.get, 5)] == [[2], [1]]
+    with pytest.raises(ValueError, match="more than 1"):
+        list(S.found_posts(posts.get, 1))
+    asked = []
+    found, gone = S.looked_up_by_id(lambda ids: asked.append(ids) or [{"id": i} for i in reversed(ids) if i != "c"], ["b", "c", "a", "b"], 2)
+    assert [f["id"] for f in found] == ["b", "a"] and gone == ["c"] and asked == [["b", "c"], ["a"]]
+    with pytest.raises(ValueError):
+        S.looked_up_by_id(lambda ids: [], ["x"], 2)
+    trades = {("m",): [{"uid": f"t{i}", "timestamp": 100 - i} for i in range(10)], ("n",): [{"uid": f"u{i}", "timestamp": 200 - i} for i in range(10)]}
+    calls = []
+    rows, cut = S.recent_trades(lambda some, offset: calls.append((some[0], offset)) or trades[tuple(some)][offset : offset + 3], ["m", "n"], 95, 1, 3, 3)
+    assert [r["uid"] for r in rows] == ["t5", "t4", "t3", "t2", "t1", "t0"] + [f"u{i}" for i in range(8, -1, -1)] and cut == [["n"]]
+    assert calls == [("m", 0), ("m", 3), ("n", 0), ("n", 3), ("n", 6)]

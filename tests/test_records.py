@@ -125,3 +125,13 @@ def test_envelopes_books_and_index_rows(spark):
     assert {tuple(r) for r in S.index_row(head).collect()} == {("a", "x", "recent-search", "posts"), ("b", "p", "x", "news_posts"), ("c", "y", "y", "t")}
     kept = spark.createDataFrame([('{"b":1,"a":null,"c":{"z":1.5},"d":"s"}',), ("{}",)], "j string").select(S.present_fields(F.col("j"), ["a", "b", "c", "q"])).collect()
     assert [r[0] for r in kept] == ['{"a":null,"b":1,"c":{"z":1.5}}', "{}"]
+
+
+def test_events_context_and_series(spark):
+    raw = [json.dumps({"id": "1", "title": "t", "tags": [{"id": "b"}, {"id": "a"}], "markets": [{"id": "m", "question": "q"}, {"id": "x"}], "startDate": "2024-01-01T00:00:00Z"}), json.dumps({"id": "2"}), "bad", None]
+    (e,) = S.events_from_json(spark.createDataFrame([(r,) for r in raw], "j string"), "j").collect()
+    assert [t.id for t in e.tags] == ["a", "b"] and [m.id for m in e.markets] == ["m"] and e.closed is False and e.start_at == dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(" a ", "a", "", None, "b")], "a string, b string, c string, d string, e string")
+    whole, short = (S.joined_context(*[F.col(c) for c in "abcde"], most=n) for n in (None, 3))
+    assert tuple(df.select(whole, short).first()) == ("a\n\nb", "a\n\n")
+    assert [r.ticker for r in S.wanted_series(spark.createDataFrame([("KXA",), ("KXA",), ("B",), (None,)], "ticker string"), ["^KXA", "^Z"]).collect()] == ["KXA"]
