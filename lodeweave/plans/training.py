@@ -10,6 +10,7 @@ from lodeweave.operators.history import Attribute, attribute_history, attribute_
 from lodeweave.operators.late import first_arrivals, period_totals
 from lodeweave.operators.skew import pieces_needed
 from lodeweave.operators.snapshots import consecutive, plain_name, plain_set, snapshot_changes
+from lodeweave.session import materialize
 from lodeweave.tables import micros, table
 
 # ---------------------------------------------------------------- p2
@@ -27,7 +28,7 @@ def roster_at(posts: DataFrame, mentions: DataFrame, relations: DataFrame) -> Da
     """news_id, subject_id, value_id: the team each resolved entity of a post was rostered by, as known at its time."""
     timed = posts.select("news_id", micros("published_at").alias("at_us")).where("at_us is not null").distinct()
     named = mentions.where("entity_id is not null").select("news_id", F.col("entity_id").alias("subject_id")).distinct()
-    events = named.join(timed, "news_id")
+    events = materialize(named.join(timed, "news_id"))  # read for its span and again for its probes
     facts = roster_facts(relations)
     held = join_valid_at(events, facts, ["subject_id"], "at_us", "from_us", "to_us").where("known_us <= at_us")
     order = [F.coalesce("from_us", F.lit(-(1 << 62))), F.col("known_us"), F.col("relationship_id")]
@@ -38,7 +39,7 @@ def content_at(posts: DataFrame, links: DataFrame, versions: DataFrame) -> DataF
     """news_id, subject_id, value_id: the content of each linked market as last observed at or before the post."""
     timed = posts.select("news_id", micros("published_at").alias("at_us")).where("at_us is not null").distinct()
     linked = links.where("platform = 'polymarket'").select("news_id", F.col("market_id").alias("subject_id")).distinct()
-    events = linked.join(timed, "news_id")
+    events = materialize(linked.join(timed, "news_id"))
     content = Attribute("content_sha256", F.col("content_sha256"))
     named = versions.withColumnRenamed("market_id", "subject_id")
     pieces = pieces_needed(named, ["subject_id"])
