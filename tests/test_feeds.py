@@ -122,4 +122,4 @@ def test_scans_of_posts_ids_and_trades():
     calls = []
     rows, cut = S.recent_trades(lambda some, offset: calls.append((some[0], offset)) or trades[tuple(some)][offset : offset + 3], ["m", "n"], 95, 1, 3, 3)
     assert [r["uid"] for r in rows] == ["t5", "t4", "t3", "t2", "t1", "t0"] + [f"u{i}" for i in range(8, -1, -1)] and cut == [["n"]]
-    assert calls == [("m", 0), ("m", 3), ("n", 0), ("n", 3), ("n", 6)]
+    assert calls == [("m", 0), ("m", 3), ("m", 6), ("n", 0), ("n", 3), ("n", 6)]
